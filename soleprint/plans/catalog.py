@@ -3,6 +3,7 @@
 Times are given without zone, as the tables hold them.
 """
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,11 @@ from soleprint.functions import window_key
 from soleprint.plans import jobs
 from soleprint.plans import testviews as views
 from soleprint.schemas import CLICK
+from soleprint.session import shared_dir
 from soleprint.sources.records import violations
+from soleprint.streaming import jobs as streams
+from soleprint.streaming.batchlog import BATCH_ID, read_log
+from soleprint.streaming.processors import ClickCounter, process_keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -245,3 +250,80 @@ def encode_counter(spark, sf_dir):
 @register
 def encode_retained(spark, sf_dir):
     return sinks.retained_records(views_hopping(spark, sf_dir))
+
+
+# Streams: the whole event log read as a file stream, and the table it leaves
+
+def _stream_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+
+
+def _enriched_schema(clicks: DataFrame) -> T.StructType:
+    return T.StructType(clicks.schema.fields + [T.StructField("product_name", T.StringType())])
+
+
+def _run_enrichment(spark, sf_dir, root) -> T.StructType:
+    clicks = views.clicks(spark, sf_dir, stream=True)
+    streams.start_enrichment(
+        clicks, lambda session: views.shoes(session, sf_dir), root).awaitTermination()
+    return _enriched_schema(clicks)
+
+
+@register
+def shoe_table_stream(spark, sf_dir):
+    root = _stream_root(spark)
+    updates = views.shoe_updates(spark, sf_dir, stream=True)
+    streams.start_shoe_table(updates, root, ("ts", "event_id")).awaitTermination()
+    return streams.current_shoes(spark, root, updates.schema)
+
+
+@register
+def enriched_clicks_stream(spark, sf_dir):
+    root = _stream_root(spark)
+    schema = _run_enrichment(spark, sf_dir, root)
+    return read_log(spark, streams.log_path(root, "enriched"), schema).drop(BATCH_ID)
+
+
+@register
+def views_tumbling_stream(spark, sf_dir):
+    root = _stream_root(spark)
+    schema = _run_enrichment(spark, sf_dir, root)
+    enriched = streams.enriched_stream(spark, root, schema)
+    streams.start_product_views(enriched, root).awaitTermination()
+    return streams.current_views(spark, root, "product_views", "product_name")
+
+
+@register
+def views_hopping_stream(spark, sf_dir):
+    root = _stream_root(spark)
+    clicks = views.clicks(spark, sf_dir, stream=True)
+    streams.start_retained_views(clicks, root).awaitTermination()
+    return streams.current_views(spark, root, "retained_views", "product_id")
+
+
+@register
+def running_total_stream(spark, sf_dir):
+    root = _stream_root(spark)
+    clicks = views.clicks(spark, sf_dir, stream=True)
+    streams.start_click_counter(clicks, root, order=("ts", "event_id")).awaitTermination()
+    schema = T.StructType([
+        T.StructField("key", T.StringType()), clicks.schema["partition"], clicks.schema["ts"],
+        clicks.schema["event_id"], T.StructField("total", T.LongType()),
+    ])
+    return read_log(spark, streams.log_path(root, "counter"), schema).drop(BATCH_ID)
+
+
+@register
+def click_counter_stateful(spark, sf_dir):
+    root = _stream_root(spark)
+    clicks = views.clicks(spark, sf_dir, stream=True).select("partition", "ts")
+    counted = process_keyed(
+        clicks, "partition", ClickCounter(), ClickCounter.SCHEMA, time_mode="processingTime")
+    # One micro-batch: with processing-time timers a query always has a next one to run.
+    (
+        counted.writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/_checkpoints/out")
+        .trigger(once=True).start().awaitTermination()
+    )
+    return spark.read.schema(counted.schema).parquet(f"{root}/out").select(
+        "partition", "key", "total")

@@ -148,6 +148,20 @@ _BODIES = {
         SELECT "partition", time_bucket(INTERVAL 10 SECOND, stream_time) AS tick,
           min(stream_time) AS stream_time
         FROM click_time GROUP BY ALL""",
+    "shoe_table_stream": """
+        SELECT event_id, id, name, ts FROM shoe_updates
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, event_id DESC) = 1""",
+    "enriched_clicks_stream": "SELECT * FROM enriched",
+    "views_tumbling_stream": "SELECT * FROM tumbling",
+    "views_hopping_stream": "SELECT * FROM hopping",
+    "running_total_stream": """
+        SELECT 'TOTAL' AS key, "partition", ts, event_id,
+          count(*) OVER (PARTITION BY "partition" ORDER BY ts, event_id) AS total
+        FROM clicks""",
+    "click_counter_stateful": """
+        SELECT "partition", 'TOTAL' AS key,
+          count(*) OVER (PARTITION BY "partition" ORDER BY ts, event_id) AS total
+        FROM clicks""",
     "encode_enriched": """
         SELECT hex(encode(product_id)) AS key,
           '0000000003' || hex(encode(CAST(to_json({

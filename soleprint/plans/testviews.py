@@ -26,7 +26,12 @@ ENRICHED_SCHEMA_ID = 3
 
 def events(spark: SparkSession, sf_dir: str, stream: bool = False, **options: str) -> DataFrame:
     """The event log with compressed time, the product key ``k`` and whole values ``v``."""
-    raw = parquet_replay(spark, f"{sf_dir}/events.parquet", stream=stream, **options)
+    path = f"{sf_dir}/events.parquet"
+    schema = None
+    if stream:
+        # A file stream wants a folder or a pattern; the table may be a single file.
+        schema, path = spark.read.parquet(path).schema, f"{sf_dir}/events.parque[t]"
+    raw = parquet_replay(spark, path, schema, stream, **options)
     micros = F.expr(
         f"{EPOCH_MICROS} + (unix_micros(ts) - {EPOCH_MICROS}) div {COMPRESSION}")
     return raw.select(
