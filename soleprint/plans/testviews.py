@@ -15,52 +15,48 @@ EPOCH_MICROS = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z, the first day of t
 COMPRESSION = 60
 PARTITIONS = 6
 
-CLICK_EVENTS = ("view", "click", "error")
-UPDATE_EVENTS = ("signup", "purchase")
-
 # Column order of a click's own fields, and the schema ids its records are written under.
 CLICK_FIELDS = ("product_id", "user_id", "view_time", "page_url", "ip")
 CLICK_SCHEMA_ID = 1
 ENRICHED_SCHEMA_ID = 3
 
 
+# The tables' columns, given so that no file is opened to find them out.
+EVENT_COLUMNS = ("event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                 "value double, props string")
+PART_COLUMNS = ("p_partkey long, p_name string, p_brand string, p_size int, "
+                "p_retailprice double")
+
+
 def events(spark: SparkSession, sf_dir: str, stream: bool = False, **options: str) -> DataFrame:
     """The event log with compressed time, the product key ``k`` and whole values ``v``."""
-    path = f"{sf_dir}/events.parquet"
-    schema = None
-    if stream:
-        # A file stream wants a folder or a pattern; the table may be a single file.
-        schema, path = spark.read.parquet(path).schema, f"{sf_dir}/events.parque[t]"
-    raw = parquet_replay(spark, path, schema, stream, **options)
-    micros = F.expr(
-        f"{EPOCH_MICROS} + (unix_micros(ts) - {EPOCH_MICROS}) div {COMPRESSION}")
-    return raw.select(
-        "event_id", "event_type", F.timestamp_micros(micros).alias("ts"),
-        F.get_json_object("props", "$.k").alias("k"), "user_id",
-        F.floor("value").cast("long").alias("v"),
+    # A file stream wants a folder or a pattern; the table may be a single file.
+    path = f"{sf_dir}/events.parque[t]" if stream else f"{sf_dir}/events.parquet"
+    return parquet_replay(spark, path, EVENT_COLUMNS, stream, **options).selectExpr(
+        "event_id", "event_type",
+        f"timestamp_micros({EPOCH_MICROS} + (unix_micros(ts) - {EPOCH_MICROS}) div {COMPRESSION})"
+        " AS ts",
+        "get_json_object(props, '$.k') AS k", "user_id", "CAST(floor(value) AS LONG) AS v",
     )
 
 
-def _click_columns() -> list[Column]:
-    known = F.col("event_type") != "error"
-    delay = F.pmod(F.col("event_id") * 7919, F.lit(1009))
-    return [
-        F.col("event_id"),
-        F.when(known, F.col("k")).otherwise(F.concat(F.lit("404-"), F.col("k"))).alias("product_id"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.col("v").alias("view_time"),
-        F.concat(F.lit("/"), F.col("event_type")).alias("page_url"),
-        F.concat(F.lit("10.0.0."), F.pmod("user_id", F.lit(256)).cast("string")).alias("ip"),
-        F.unix_millis("ts").alias("payload_ts"),
-        F.col("ts"),
-        F.pmod(F.col("k").cast("int"), F.lit(PARTITIONS)).alias("partition"),
-        F.timestamp_micros(F.unix_micros("ts") + delay * 1_000_000).alias("arrival"),
-    ]
+_CLICK_COLUMNS = (
+    "event_id",
+    "concat(IF(event_type = 'error', '404-', ''), k) AS product_id",
+    "CAST(user_id AS STRING) AS user_id",
+    "v AS view_time",
+    "concat('/', event_type) AS page_url",
+    "concat('10.0.0.', user_id % 256) AS ip",
+    "unix_millis(ts) AS payload_ts",
+    "ts",
+    f"CAST(k AS INT) % {PARTITIONS} AS partition",
+    "timestamp_micros(unix_micros(ts) + event_id * 7919 % 1009 * 1000000) AS arrival",
+)
 
 
 def clicks_of(events: DataFrame) -> DataFrame:
     """Clicks, with the order they arrived in: up to 17 minutes late, ties by ``event_id``."""
-    return events.where(F.col("event_type").isin(*CLICK_EVENTS)).select(*_click_columns())
+    return events.where("event_type IN ('view', 'click', 'error')").selectExpr(*_CLICK_COLUMNS)
 
 
 def clicks(spark: SparkSession, sf_dir: str, stream: bool = False, **options: str) -> DataFrame:
@@ -69,12 +65,9 @@ def clicks(spark: SparkSession, sf_dir: str, stream: bool = False, **options: st
 
 def shoes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole catalogue, one version per product."""
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
-        F.col("p_partkey").cast("string").alias("id"),
-        F.col("p_retailprice").cast("string").alias("sale_price"),
-        F.col("p_brand").alias("brand"),
-        F.col("p_name").alias("name"),
-        (F.col("p_size") / 10.0).alias("rating"),
+    return spark.read.schema(PART_COLUMNS).parquet(f"{sf_dir}/part.parquet").selectExpr(
+        "CAST(p_partkey AS STRING) AS id", "CAST(p_retailprice AS STRING) AS sale_price",
+        "p_brand AS brand", "p_name AS name", "p_size / 10.0D AS rating",
     )
 
 
@@ -82,14 +75,10 @@ def shoe_updates(
     spark: SparkSession, sf_dir: str, stream: bool = False, **options: str
 ) -> DataFrame:
     """New versions of products over time."""
-    version = F.floor(F.col("v") / 50).cast("string")
     return (
         events(spark, sf_dir, stream, **options)
-        .where(F.col("event_type").isin(*UPDATE_EVENTS))
-        .select(
-            "event_id", F.col("k").alias("id"),
-            F.concat(F.lit("shoe-"), F.col("k"), F.lit("-v"), version).alias("name"), "ts",
-        )
+        .where("event_type IN ('signup', 'purchase')")
+        .selectExpr("event_id", "k AS id", "concat('shoe-', k, '-v', v div 50) AS name", "ts")
     )
 
 
@@ -113,20 +102,22 @@ def damaged_records(events: DataFrame) -> DataFrame:
     Clicks are sound; views lack ``ip``; sign-ups have no value; purchases end early; errors
     have a field of the wrong type (odd values) or one the schema does not know.
     """
-    all_clicks = events.select(*_click_columns(), "event_type", "v")
-    payload = F.to_json(click_payload())
-    kind = F.col("event_type")
-    text = (
-        F.when(kind == "click", payload)
-        .when(kind == "view", F.to_json(click_payload().dropFields("ip")))
-        .when(kind == "purchase", F.left(payload, F.length(payload) - 1))
-        .when((kind == "error") & (F.pmod("v", F.lit(2)) == 1),
-              F.to_json(click_payload().withField("view_time", F.lit("soon"))))
-        .when(kind == "error", F.to_json(click_payload().withField("referrer", F.lit("home"))))
-    )
-    prefix = F.unhex(F.lit("00" + format(CLICK_SCHEMA_ID, "08X")))
-    return all_clicks.select(
-        F.col("product_id").cast("binary").alias("key"),
-        F.concat(prefix, text.cast("binary")).alias("value"),
-        "partition", F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"),
+    payload = "product_id, user_id, {view_time}, page_url, {ip} payload_ts AS ts{more}"
+
+    def text(view_time="view_time", ip="ip,", more=""):
+        fields = payload.format(view_time=view_time, ip=ip, more=more)
+        return f"to_json(struct({fields}))"
+
+    value = f"""CASE event_type
+        WHEN 'click' THEN {text()}
+        WHEN 'view' THEN {text(ip='')}
+        WHEN 'purchase' THEN substring({text()}, 1, length({text()}) - 1)
+        WHEN 'error' THEN IF(view_time % 2 = 1, {text(view_time="'soon' AS view_time")},
+                             {text(more=", 'home' AS referrer")})
+        END"""
+    prefix = "00" + format(CLICK_SCHEMA_ID, "08X")
+    return events.selectExpr(*_CLICK_COLUMNS, "event_type").selectExpr(
+        "CAST(product_id AS BINARY) AS key",
+        f"concat(X'{prefix}', CAST({value} AS BINARY)) AS value",
+        "partition", "event_id AS offset", "ts AS timestamp",
     )

@@ -4,7 +4,7 @@ All of it is built-in expressions on one row, so it works alike on batches and s
 one bad record never fails the job.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,41 +20,44 @@ def decode_records(records: DataFrame, schema: T.StructType, strict: bool = Fals
     ``wrong_type``, ``unknown_field`` and, with ``strict``, ``missing_field``. Without
     ``strict`` a missing field is null, as the schemas' required list is then not enforced.
     """
-    body = F.substring("value", PREFIX_BYTES + 1, 2**31 - 1 - PREFIX_BYTES)
     parsed_schema = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    known = F.array(*[F.lit(name) for name in schema.names])
+    known = ", ".join(f"'{name}'" for name in schema.names)
+    missing = " OR ".join(f"_parsed.{name} IS NULL" for name in schema.names)
 
-    rows = (
-        records
-        .withColumn("_text", F.try_validate_utf8(body.cast("string")))
-        .withColumn("_keys", F.json_object_keys("_text"))
-        .withColumn("_parsed", F.from_json("_text", parsed_schema, options))
+    text = F.expr(f"try_validate_utf8(CAST(substring(value, {PREFIX_BYTES + 1}) AS STRING))")
+    parsed = F.struct(
+        F.from_json("_text", parsed_schema, options).alias("_parsed"),
+        F.expr("json_object_keys(_text) AS _keys"),
     )
-    enveloped = (F.octet_length("value") > PREFIX_BYTES) & (
-        F.hex(F.substring("value", 1, 1)) == MAGIC_HEX
-    )
-    missing = F.lit(False)
-    for name in schema.names:
-        missing = missing | F.col(f"_parsed.{name}").isNull()
-    reason = (
-        F.when(F.col("value").isNull(), "null_value")
-        .when(~enveloped, "bad_envelope")
-        .when(F.col("_text").isNull(), "bad_encoding")
-        .when(F.trim("_text") == "null", "null_value")
-        .when(F.col("_keys").isNull(), "malformed_json")
-        .when(F.col("_parsed").isNull() | F.col(f"_parsed.{_CORRUPT}").isNotNull(), "wrong_type")
-        .when(F.size(F.array_except("_keys", known)) > 0, "unknown_field")
-    )
-    if strict:
-        reason = reason.when(missing, "missing_field")
+    reason = f"""CASE
+        WHEN value IS NULL THEN 'null_value'
+        WHEN octet_length(value) <= {PREFIX_BYTES} OR substring(value, 1, 1) <> X'{MAGIC_HEX}'
+          THEN 'bad_envelope'
+        WHEN _text IS NULL THEN 'bad_encoding'
+        WHEN trim(_text) = 'null' THEN 'null_value'
+        WHEN _keys IS NULL THEN 'malformed_json'
+        WHEN _parsed IS NULL OR _parsed.{_CORRUPT} IS NOT NULL THEN 'wrong_type'
+        WHEN size(array_except(_keys, array({known}))) > 0 THEN 'unknown_field'
+        {f"WHEN {missing} THEN 'missing_field'" if strict else ""}
+        END AS reason"""
+    fields = ", ".join(f"_parsed.{name}" for name in schema.names)
     return (
-        rows.withColumn("reason", reason)
-        .withColumn("payload", F.struct(*[F.col(f"_parsed.{name}") for name in schema.names]))
-        .drop("_text", "_keys", "_parsed")
+        once(records.withColumn("_text", text), parsed)
+        .selectExpr(*records.columns, reason, f"struct({fields}) AS payload")
     )
 
 
+def once(df: DataFrame, row: Column) -> DataFrame:
+    """Add the fields of the struct ``row``, computed once per row.
+
+    Each later use of a column is otherwise a copy of its expression: filters are pushed below
+    it, and a record would be parsed again for every condition on it. A generator of one row is
+    a boundary that copies do not cross.
+    """
+    return df.select("*", F.inline(F.array(row)))
+
+
 def good_records(decoded: DataFrame) -> DataFrame:
     """The payload fields of the good records.
 

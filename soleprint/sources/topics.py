@@ -38,22 +38,18 @@ def read_topic(
 
 
 def parquet_replay(
-    spark: SparkSession, path: str, schema: T.StructType | None = None,
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None,
     stream: bool = False, **options: str,
 ) -> DataFrame:
-    """A recorded log from parquet, as a batch or as a file stream.
+    """A recorded log from parquet, as a batch or as a file stream; a stream needs the schema.
 
     Timestamps without zone become instants (session time zone), as watermarks need them.
     """
-    if stream:
-        if schema is None:
-            raise ValueError("a stream of files needs its schema")
-        rows = spark.readStream.schema(schema).options(**options).parquet(path)
-    else:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        rows = reader.options(**options).parquet(path)
-    return rows.select(*[
-        F.col(field.name).cast("timestamp").alias(field.name)
-        if isinstance(field.dataType, T.TimestampNTZType) else F.col(field.name)
-        for field in rows.schema.fields
-    ])
+    reader = spark.readStream if stream else spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    rows = reader.options(**options).parquet(path)
+    return rows.withColumns({
+        field.name: F.col(field.name).cast("timestamp") for field in rows.schema.fields
+        if isinstance(field.dataType, T.TimestampNTZType)
+    })
