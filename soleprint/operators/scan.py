@@ -1,10 +1,11 @@
-"""Running values over ordered rows, without putting a whole group into one task.
-
-``Window.partitionBy(key).orderBy(ts)`` sorts all rows of a key in one task; with one hot key,
-or no key at all, that task is the job. Here each key's rows are cut into consecutive slices,
-each slice is reduced to one value per running column, those few values are scanned to give
-what every slice starts with, and the rows are then scanned slice by slice. The starting value
-enters a slice as one more row that sorts first, so rows are shuffled once and never joined.
+"""Running values over ordered rows, without putting an unbounded group into one task.
+
+``Window.partitionBy(key).orderBy(ts)`` sorts all rows of a key in one task. That is right for
+keys of bounded size and is what happens here to those. A key that holds more rows is cut into
+consecutive slices, each slice is reduced to one value per running column, those few values are
+scanned to give what every slice starts with, and the rows are then scanned slice by slice. The
+starting value enters a slice as one more row that sorts first, so rows are shuffled once and
+never joined with it.
 """
 
 from collections.abc import Sequence
@@ -17,10 +18,10 @@ from pyspark.sql import Window
 
 from soleprint.session import shared_dir
 
-# The largest slice one task is asked to sort; a slice beyond it is cut by row ranges.
+# The most rows one task is asked to sort as one group.
 SLICE_ROWS = 4_000_000
 
-_SLICE, _ROWS, _IS_ROW = "_slice", "_rows", "_is_row"
+_HOT, _SLICE, _ROWS, _IS_ROW = "_hot", "_slice", "_rows", "_is_row"
 
 
 @dataclass(frozen=True)
@@ -34,12 +35,6 @@ class Running:
     def source(self) -> Column:
         return F.lit(1).cast("long") if self.kind == "count" else self.value
 
-    def reduce(self, order: Sequence[str]) -> Column:
-        held = F.col(self.name)
-        if self.kind == "last":
-            return F.max_by(held, F.when(held.isNotNull(), F.struct(*order)))
-        return F.sum(held) if self.kind == "count" else F.max(held)
-
     def scan(self) -> Column:
         held = F.col(self.name)
         if self.kind == "last":
@@ -53,43 +48,94 @@ def prefix_scan(
 ) -> DataFrame:
     """``df`` plus the running columns, per ``keys`` in ``order``, each row's own value included.
 
-    ``order`` starts with a timestamp column and must tell rows of a key apart. Slices are spans
-    of ``slice_seconds``; where a span of a key holds more than ``slice_rows`` rows, slices are row
-    ranges from a range partitioning of the rows instead, which no skew in keys or times can
-    make uneven.
+    ``order`` starts with a timestamp column and must tell rows of a key apart. Keys with more
+    than ``slice_rows`` rows are sliced into spans of ``slice_seconds``; where a span still holds
+    more, such keys are sliced into row ranges from a range partitioning instead, which no skew
+    in keys or times can make uneven.
     """
-    columns = df.columns
     keys, order = list(keys), list(order)
+    columns = df.columns
     for item in running:
         df = df.withColumn(item.name, item.source())
 
-    sliced = _by_time(df, order[0], slice_seconds)
-    reduced = _reduce(sliced, keys, order, running)
-    widest, total = reduced.agg(F.max(_ROWS), F.sum(_ROWS)).first()
-    if widest is not None and widest > slice_rows:
-        sliced = _by_range(df, keys, order, max(2, ceil(total / slice_rows)))
-        reduced = _reduce(sliced, keys, order, running)
+    hot = _hot_groups(df, keys, slice_rows)
+    if hot is None:
+        return _scan_slices(df.withColumn(_SLICE, F.lit(0)), keys, order, running, columns)
+
+    marked = _mark(df, hot, keys)
+    # Rows without a time sort first, so they form the first slice.
+    span = F.coalesce(F.floor(F.unix_seconds(order[0]) / slice_seconds), F.lit(-(2**62)))
+    rows = marked.withColumn(_SLICE, F.when(F.col(_HOT), span)).drop(_HOT)
+    sliced = rows.where(F.col(_SLICE).isNotNull())
+    sizes = _sizes(sliced, keys, running)
+    widest, total = sizes.agg(F.max(_ROWS), F.sum(_ROWS)).first()
+    if widest > slice_rows:
+        hot_rows = marked.where(F.col(_HOT)).drop(_HOT)
+        sliced = _by_range(hot_rows, keys, order, max(2, ceil(total / slice_rows)))
+        sizes = _sizes(sliced, keys, running)
+        rows = sliced.unionByName(rows.where(F.col(_SLICE).isNull()))
+    starts = _starts(sliced, sizes, keys, order, running)
+    seeded = rows.withColumn(_IS_ROW, F.lit(True)).unionByName(
+        starts.withColumn(_IS_ROW, F.lit(False)), allowMissingColumns=True)
+    return _scan_slices(seeded, keys, [_IS_ROW, *order], running, columns, _IS_ROW)
+
+
+def _hot_groups(df: DataFrame, keys: list[str], slice_rows: int) -> DataFrame | None:
+    """The keys with more than ``slice_rows`` rows, if any: at most all rows / ``slice_rows``."""
+    shared_dir(df.sparkSession)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
+    hot = counts.where(F.col(_ROWS) > slice_rows).select(*keys).withColumn(
+        _HOT, F.lit(True)).checkpoint()
+    return None if hot.isEmpty() else hot
+
+
+def _mark(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``_hot``: true for rows of a hot key. Without keys all rows are one hot group."""
+    if not keys:
+        return df.withColumn(_HOT, F.lit(True))
+    names = {key: f"_hot_{i}" for i, key in enumerate(keys)}
+    renamed = hot.withColumnsRenamed(names)
+    same = F.lit(True)
+    for key, name in names.items():
+        same = same & F.col(key).eqNullSafe(F.col(name))
+    return df.join(F.broadcast(renamed), same, "left").drop(*names.values())
+
+
+def _starts(
+    sliced: DataFrame, sizes: DataFrame, keys: list[str], order: list[str],
+    running: Sequence[Running],
+) -> DataFrame:
+    """What each slice starts with: the running columns over all slices of the key before it.
 
-    # One row per key and slice: bounded by the spans on the clock or the number of ranges.
-    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(
+    A hot key has a few rows here per slice: bounded by the spans on the clock, or by the number
+    of ranges.
+    """
+    reduced = sizes.withColumn(_IS_ROW, F.lit(True))
+    for item in running:
+        if item.kind == "last":
+            reduced = reduced.unionByName(
+                _last_values(sliced, keys, order, item).withColumn(_IS_ROW, F.lit(False)),
+                allowMissingColumns=True)
+    before = Window.partitionBy(*keys).orderBy(_SLICE).rangeBetween(
         Window.unboundedPreceding, -1)
-    starts = reduced.select(
-        *keys, _SLICE, *[item.scan().over(before).alias(item.name) for item in running]
-    ).dropna("all", subset=[item.name for item in running])
+    return reduced.select(
+        *keys, _SLICE, _IS_ROW,
+        *[item.scan().over(before).alias(item.name) for item in running],
+    ).where(_IS_ROW).drop(_IS_ROW).dropna("all", subset=[item.name for item in running])
 
-    within = Window.partitionBy(*keys, _SLICE).orderBy(_IS_ROW, *order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (
-        sliced.withColumn(_IS_ROW, F.lit(True))
-        .unionByName(starts.withColumn(_IS_ROW, F.lit(False)), allowMissingColumns=True)
-        .select("*", *[item.scan().over(within).alias(f"_run_{item.name}") for item in running])
-        .where(_IS_ROW)
-        .select(*columns, *[F.col(f"_run_{item.name}").alias(item.name) for item in running])
-    )
 
-
-def _by_time(df: DataFrame, time: str, seconds: int) -> DataFrame:
-    return df.withColumn(_SLICE, F.floor(F.unix_seconds(time) / seconds))
+def _scan_slices(
+    rows: DataFrame, keys: list[str], order: list[str], running: Sequence[Running],
+    columns: list[str], keep: str | None = None,
+) -> DataFrame:
+    within = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    scanned = rows.select(
+        "*", *[item.scan().over(within).alias(f"_run_{item.name}") for item in running])
+    if keep:
+        scanned = scanned.where(keep)
+    return scanned.select(
+        *columns, *[F.col(f"_run_{item.name}").alias(item.name) for item in running])
 
 
 def _by_range(df: DataFrame, keys: list[str], order: list[str], ranges: int) -> DataFrame:
@@ -98,7 +144,6 @@ def _by_range(df: DataFrame, keys: list[str], order: list[str], ranges: int) ->
     Range limits come from a sample that a second evaluation would draw anew, so the numbered
     rows are written to the shared folder once; reduction and scan both read that copy.
     """
-    shared_dir(df.sparkSession)
     return (
         df.repartitionByRange(ranges, *keys, *order)
         .withColumn(_SLICE, F.spark_partition_id().cast("long"))
@@ -106,12 +151,19 @@ def _by_range(df: DataFrame, keys: list[str], order: list[str], ranges: int) ->
     )
 
 
-def _reduce(
-    sliced: DataFrame, keys: list[str], order: list[str], running: Sequence[Running]
-) -> DataFrame:
-    """One row per key and slice, written once: it is read for the size check and the scan."""
-    shared_dir(sliced.sparkSession)
+def _sizes(sliced: DataFrame, keys: list[str], running: Sequence[Running]) -> DataFrame:
+    """Rows, counts and maxima per key and slice, written once: it is read for the size check
+    and for the scan. Plain numbers only, so the aggregate is a hash aggregate."""
     return sliced.groupBy(*keys, _SLICE).agg(
         F.count(F.lit(1)).alias(_ROWS),
-        *[item.reduce(order).alias(item.name) for item in running],
+        *[(F.sum if item.kind == "count" else F.max)(item.name).alias(item.name)
+          for item in running if item.kind != "last"],
     ).checkpoint()
+
+
+def _last_values(
+    sliced: DataFrame, keys: list[str], order: list[str], item: Running
+) -> DataFrame:
+    """The last value per key and slice, from the rows that have one."""
+    return sliced.where(F.col(item.name).isNotNull()).groupBy(*keys, _SLICE).agg(
+        F.max_by(item.name, F.struct(*order)).alias(item.name))

@@ -35,6 +35,9 @@ TUMBLING = Windows(size=600, advance=600, grace=60)
 HOPPING = Windows(size=600, advance=60, grace=60)
 RETENTION_SECONDS = 1800
 
+# The most windows of one block that are counted side by side.
+MAX_COLUMNS = 60
+
 
 def _seconds(n: int) -> Column:
     return F.expr(f"INTERVAL '{n}' SECOND")
@@ -58,8 +61,7 @@ def count_views(df: DataFrame, key: str, windows: Windows, ts: str = "ts") -> Da
     """Rows per key and window, as ``views``.
 
     On a stream this is one windowed aggregate behind a watermark of the grace; run it in
-    update mode. On a batch, hopping windows are counted from panes: rows are counted per
-    advance first, and only those counts are copied into the windows they belong to.
+    update mode.
     """
     keyed = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
     if df.isStreaming:
@@ -73,21 +75,42 @@ def count_views(df: DataFrame, key: str, windows: Windows, ts: str = "ts") -> Da
             key, F.col("_window.start").alias("window_start"),
             F.col("_window.end").alias("window_end"), "views",
         )
-    pane = _align(F.unix_seconds(ts), windows.advance).alias("_pane")
-    panes = keyed.groupBy(key, pane).agg(F.count(F.lit(1)).alias("views"))
+    pane = _align(F.unix_seconds(ts), windows.advance)
     if windows.tumbling:
-        return _with_bounds(panes, windows, "_pane").select(
+        counted = keyed.groupBy(key, pane.alias("_start")).agg(F.count(F.lit(1)).alias("views"))
+        return _with_bounds(counted, windows, "_start").select(
             key, "window_start", "window_end", "views")
-    first = F.col("_pane") - (windows.size - windows.advance)
-    return _sum_panes(panes, key, windows, first)
+    placed = keyed.select(key, pane.alias("_last")).withColumn(
+        "_first", F.col("_last") - (windows.size - windows.advance))
+    return _count_starts(placed, key, windows)
 
 
-def _sum_panes(panes: DataFrame, key: str, windows: Windows, first: Column) -> DataFrame:
-    """Sum pane counts into the windows that start from ``first`` up to the pane."""
-    start = F.explode(F.sequence(first, F.col("_pane"), F.lit(windows.advance)))
-    summed = panes.select(key, start.alias("_start"), "views").groupBy(key, "_start").agg(
-        F.sum("views").alias("views"))
-    return _with_bounds(summed, windows, "_start").select(
+def _count_starts(placed: DataFrame, key: str, windows: Windows) -> DataFrame:
+    """Count each row in the windows that start from second ``_first`` to ``_last``.
+
+    A row lies in up to size / advance windows, but their starts fall into at most two blocks
+    of one window size. So a row is copied twice at most, and the windows that start in a block
+    are counted side by side, one column each, in one aggregate with one shuffle.
+    """
+    per_block = windows.size // windows.advance
+    if per_block > MAX_COLUMNS:
+        starts = F.sequence("_first", "_last", F.lit(windows.advance))
+        counted = placed.select(key, F.explode(starts).alias("_start")).groupBy(
+            key, "_start").agg(F.count(F.lit(1)).alias("views"))
+    else:
+        blocks = F.sequence(
+            _align(F.col("_first"), windows.size), _align(F.col("_last"), windows.size),
+            F.lit(windows.size))
+        offsets = [i * windows.advance for i in range(per_block)]
+        side_by_side = placed.select("*", F.explode(blocks).alias("_block")).groupBy(
+            key, "_block").agg(*[
+                F.expr(f"count_if(_block + {offset} BETWEEN _first AND _last) AS _{offset}")
+                for offset in offsets
+            ])
+        cells = ", ".join(f"struct(_block + {offset} AS start, _{offset} AS n)" for offset in offsets)
+        counted = side_by_side.selectExpr(
+            f"`{key}`", f"inline(array({cells})) AS (_start, views)").where("views > 0")
+    return _with_bounds(counted, windows, "_start").select(
         key, "window_start", "window_end", "views")
 
 
@@ -154,7 +177,6 @@ def count_views_on_time(
 
     ``df`` comes from ``with_stream_time``. A row counts in a window while the window's end lies
     after stream time less the grace, so a late row may reach only the later of its windows.
-    Rows are counted per pane and first open window, then copied into windows.
     """
     keyed = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
     pane = _align(F.unix_seconds(ts), windows.advance)
@@ -163,13 +185,8 @@ def count_views_on_time(
     closed = F.unix_seconds("stream_time") - (windows.grace + windows.size)
     first_open = _align(closed, windows.advance) + windows.advance
     first = F.greatest(pane - (windows.size - windows.advance), first_open)
-    panes = (
-        keyed.select(key, pane.alias("_pane"), first.alias("_first"))
-        .where(F.col("_first") <= F.col("_pane"))
-        .groupBy(key, "_pane", "_first")
-        .agg(F.count(F.lit(1)).alias("views"))
-    )
-    return _sum_panes(panes, key, windows, F.col("_first"))
+    placed = keyed.select(key, first.alias("_first"), pane.alias("_last"))
+    return _count_starts(placed.where(F.col("_first") <= F.col("_last")), key, windows)
 
 
 def live_windows(

@@ -39,7 +39,7 @@ def brute_force(rows: list[tuple], keyed: bool) -> set[tuple]:
     return out
 
 
-@pytest.mark.parametrize("slice_rows", [10, 200, 10**6])
+@pytest.mark.parametrize("slice_rows", [10, 200, 400, 900, 10**6])
 @pytest.mark.parametrize("keyed", [True, False])
 def test_scan_equals_loop(spark, keyed, slice_rows):
     rows = skewed_rows(2000, seed=slice_rows)
@@ -60,6 +60,8 @@ def test_scan_equals_loop(spark, keyed, slice_rows):
 def test_slices_hold_bounded_rows(spark):
     """However the rows are skewed, no slice of the range form is far above the bound."""
     from soleprint.operators.scan import _by_range
+    from soleprint.session import shared_dir
+    shared_dir(spark)
     df = spark.createDataFrame(skewed_rows(6000, seed=1), SCHEMA)
     sizes = [row["count"] for row in
              _by_range(df, ["key"], ["ts", "seq"], 12).groupBy("_slice").count().collect()]
@@ -67,6 +69,18 @@ def test_slices_hold_bounded_rows(spark):
     assert max(sizes) < 1500
 
 
+@pytest.mark.parametrize("slice_rows", [2, 40, 10**6])
+def test_rows_without_a_time_come_first(spark, slice_rows):
+    rows = [("a", None if i % 10 == 0 else START + dt.timedelta(minutes=i), i, i)
+            for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    scanned = prefix_scan(
+        df, ["key"], ["ts", "seq"], [Running("n", "count")], slice_rows=slice_rows)
+    ranked = sorted(rows, key=lambda row: (row[1] is not None, row[1] or START, row[2]))
+    assert {row.seq: row.n for row in scanned.collect()} == {
+        row[2]: n for n, row in enumerate(ranked, 1)}
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert prefix_scan(df, ["key"], ["ts", "seq"], [Running("n", "count")]).count() == 0
