@@ -46,6 +46,16 @@ def log_path(root: str, name: str) -> str:
     return f"{root}/{name}"
 
 
+def start_console(rows: DataFrame, root: str, **trigger: object) -> StreamingQuery:
+    """Print rows as they come, to look at a source; twenty of each micro-batch."""
+    return (
+        rows.writeStream.format("console").option("truncate", "false")
+        .option("checkpointLocation", f"{root}/_checkpoints/console")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def start_shoe_table(
     shoes: DataFrame, root: str, order: Sequence[str], **trigger: object
 ) -> StreamingQuery:

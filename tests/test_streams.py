@@ -8,9 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from soleprint.operators import counters, joins, windows
+from soleprint import sinks
+from soleprint.operators import counters, windows
 from soleprint.operators.peek import peek
+from soleprint.plans import jobs as jobs_batch
 from soleprint.plans import testviews as views
+from soleprint.schemas import CLICK, RECORD
+from soleprint.sources import decode_records, good_records, quarantined
 from soleprint.streaming import jobs
 from soleprint.streaming.batchlog import compact_log, read_latest, read_log
 from soleprint.streaming.processors import ClickCounter, StreamClock, process_keyed
@@ -61,6 +65,26 @@ def test_hopping_stream_equals_batch(spark, click_folder, tmp_path):
         spark, f"{root}/retained_views", got.schema).select("batch_id").distinct().count() >= FILES
 
 
+def test_records_are_decoded_and_encoded_in_a_stream(spark, tmp_path):
+    """Log records in, quarantine and counted records out, in update mode."""
+    events = views.events(spark, SMALL)
+    folder = str(tmp_path / "in")
+    write_part(views.damaged_records(events), folder, 0)
+    records = spark.readStream.schema(RECORD).parquet(f"{folder}/*")
+    decoded = decode_records(records, CLICK)
+    counted = sinks.retained_records(
+        windows.count_views(good_records(decoded), "product_id", windows.HOPPING))
+    for name, df, mode in (("counted", counted, "update"), ("bad", quarantined(decoded), "append")):
+        (
+            df.writeStream.format("memory").queryName(name).outputMode(mode)
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+    good, bad = jobs_batch.decode_clicks(views.damaged_records(events))
+    expected = sinks.retained_records(windows.count_views(good, "product_id", windows.HOPPING))
+    assert rows(spark.table("counted")) == rows(expected)
+    assert spark.table("bad").count() == bad.count() > 0
+
+
 def test_product_views_stream_equals_batch(spark, click_folder, tmp_path):
     root = str(tmp_path)
     clicks = open_clicks(spark, click_folder)
