@@ -49,27 +49,31 @@ def prefix_scan(
     """``df`` plus the running columns, per ``keys`` in ``order``, each row's own value included.
 
     ``order`` starts with a timestamp column and must tell rows of a key apart. Keys with more
-    than ``slice_rows`` rows are sliced into spans of ``slice_seconds``; where a span still holds
-    more, such keys are sliced into row ranges from a range partitioning instead, which no skew
-    in keys or times can make uneven.
+    than ``slice_rows`` rows, and all rows where there are no keys, are sliced into spans of
+    ``slice_seconds``; where a span still holds more, such keys are sliced into row ranges from a
+    range partitioning instead, which no skew in keys or times can make uneven.
     """
     keys, order = list(keys), list(order)
     columns = df.columns
     for item in running:
         df = df.withColumn(item.name, item.source())
 
-    hot = _hot_groups(df, keys, slice_rows)
-    if hot is None:
-        return _scan_slices(df.withColumn(_SLICE, F.lit(0)), keys, order, running, columns)
+    if keys:
+        hot = _hot_groups(df, keys, slice_rows)
+        if hot is None:
+            return _scan_slices(df.withColumn(_SLICE, F.lit(0)), keys, order, running, columns)
+        marked = _mark(df, hot, keys)
+    else:
+        shared_dir(df.sparkSession)
+        marked = df.withColumn(_HOT, F.lit(True))
 
-    marked = _mark(df, hot, keys)
     # Rows without a time sort first, so they form the first slice.
     span = F.coalesce(F.floor(F.unix_seconds(order[0]) / slice_seconds), F.lit(-(2**62)))
     rows = marked.withColumn(_SLICE, F.when(F.col(_HOT), span)).drop(_HOT)
     sliced = rows.where(F.col(_SLICE).isNotNull())
     sizes = _sizes(sliced, keys, running)
     widest, total = sizes.agg(F.max(_ROWS), F.sum(_ROWS)).first()
-    if widest > slice_rows:
+    if widest is not None and widest > slice_rows:
         hot_rows = marked.where(F.col(_HOT)).drop(_HOT)
         sliced = _by_range(hot_rows, keys, order, max(2, ceil(total / slice_rows)))
         sizes = _sizes(sliced, keys, running)
@@ -90,9 +94,7 @@ def _hot_groups(df: DataFrame, keys: list[str], slice_rows: int) -> DataFrame |
 
 
 def _mark(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    """Add ``_hot``: true for rows of a hot key. Without keys all rows are one hot group."""
-    if not keys:
-        return df.withColumn(_HOT, F.lit(True))
+    """Add ``_hot``: true for rows of a hot key."""
     names = {key: f"_hot_{i}" for i, key in enumerate(keys)}
     renamed = hot.withColumnsRenamed(names)
     same = F.lit(True)

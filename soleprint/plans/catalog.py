@@ -29,13 +29,14 @@ QUERIES: dict[str, Query] = {}
 
 def _plain(df: DataFrame) -> DataFrame:
     """Instants as timestamps without zone, bytes as hex text."""
-    def column(field: T.StructField):
+    def column(field: T.StructField) -> str:
+        name = f"`{field.name}`"
         if isinstance(field.dataType, T.TimestampType):
-            return F.col(field.name).cast("timestamp_ntz").alias(field.name)
+            return f"CAST({name} AS TIMESTAMP_NTZ) AS {name}"
         if isinstance(field.dataType, T.BinaryType):
-            return F.hex(field.name).alias(field.name)
-        return F.col(field.name)
-    return df.select(*[column(field) for field in df.schema.fields])
+            return f"hex({name}) AS {name}"
+        return name
+    return df.selectExpr(*[column(field) for field in df.schema.fields])
 
 
 def register(query: Query) -> Query:

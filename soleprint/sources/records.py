@@ -25,11 +25,11 @@ def decode_records(records: DataFrame, schema: T.StructType, strict: bool = Fals
     known = ", ".join(f"'{name}'" for name in schema.names)
     missing = " OR ".join(f"_parsed.{name} IS NULL" for name in schema.names)
 
-    text = F.expr(f"try_validate_utf8(CAST(substring(value, {PREFIX_BYTES + 1}) AS STRING))")
+    text = f"try_validate_utf8(CAST(substring(value, {PREFIX_BYTES + 1}) AS STRING))"
+    # Text that is no object is not parsed again: its fields would all be null.
     parsed = F.struct(
-        F.from_json("_text", parsed_schema, options).alias("_parsed"),
-        F.expr("json_object_keys(_text) AS _keys"),
-    )
+        F.from_json(F.expr("IF(_keys IS NULL, NULL, _text)"), parsed_schema, options)
+        .alias("_parsed"))
     reason = f"""CASE
         WHEN value IS NULL THEN 'null_value'
         WHEN octet_length(value) <= {PREFIX_BYTES} OR substring(value, 1, 1) <> X'{MAGIC_HEX}'
@@ -42,10 +42,10 @@ def decode_records(records: DataFrame, schema: T.StructType, strict: bool = Fals
         {f"WHEN {missing} THEN 'missing_field'" if strict else ""}
         END AS reason"""
     fields = ", ".join(f"_parsed.{name}" for name in schema.names)
-    return (
-        once(records.withColumn("_text", text), parsed)
-        .selectExpr(*records.columns, reason, f"struct({fields}) AS payload")
-    )
+    keyed = records.selectExpr("*", f"{text} AS _text").selectExpr(
+        "*", "json_object_keys(_text) AS _keys")
+    return once(keyed, parsed).selectExpr(
+        *[f"`{name}`" for name in records.columns], reason, f"struct({fields}) AS payload")
 
 
 def once(df: DataFrame, row: Column) -> DataFrame:

@@ -83,4 +83,5 @@ def test_rows_without_a_time_come_first(spark, slice_rows):
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], SCHEMA)
-    assert prefix_scan(df, ["key"], ["ts", "seq"], [Running("n", "count")]).count() == 0
+    for keys in (["key"], []):
+        assert prefix_scan(df, keys, ["ts", "seq"], [Running("n", "count")]).count() == 0
