@@ -130,8 +130,10 @@ def enriched_clicks(spark, sf_dir):
 
 @register
 def enriched_clicks_salted(spark, sf_dir):
-    return joins.enrich(
-        views.clicks(spark, sf_dir), views.shoes(spark, sf_dir), hot_key_rows=20, salted=True)
+    # A share of the clicks, so that there are hot keys at any scale and few hundred salts.
+    clicks = views.clicks(spark, sf_dir)
+    share = max(1, clicks.count() // 200)
+    return joins.enrich(clicks, views.shoes(spark, sf_dir), hot_key_rows=share, salted=True)
 
 
 @register
