@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from soleprint.llm import quality
+from soleprint.llm import quality, url_filter
 from soleprint.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +26,9 @@ def op10_line_quality(spark, sf_dir):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+@register
+def op6_url_cascade(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge_urls(pages, url_filter.sample_list(pages))

@@ -1,6 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 from soleprint.llm.quality import BOILERPLATE, LineRules
+from soleprint.llm.url_filter import LOWER, RULES, UPPER
 
 _RULES = LineRules()
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -55,4 +56,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLES = {"op10_line_quality": LINE_QUALITY}
+
+def _rules(value) -> str:
+    longest_first = sorted(RULES, key=lambda r: (len(r.name), r.verdict == "block"), reverse=True)
+    return " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}'))"
+        f" AND starts_with(path, '{r.path}') THEN '{value(r)}'" for r in longest_first)
+
+
+URL_CASCADE = f"""
+WITH rest AS (
+    SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END
+        AS rest
+    FROM pages
+), parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest
+)
+SELECT page_id, host, path, CASE {_rules(lambda r: r.name)} END AS rule,
+    CASE {_rules(lambda r: r.verdict)}
+        WHEN substr(md5(host || path), 1, 1) IN ('0', '1', '2', '3') THEN 'block'
+        ELSE 'allow' END AS verdict
+FROM parts
+"""
+
+ORACLES = {
+    "op6_url_cascade": URL_CASCADE,
+    "op10_line_quality": LINE_QUALITY,
+}
