@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from soleprint.llm import quality, url_filter
+from soleprint.llm import quality, simhash, url_filter
 from soleprint.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +33,10 @@ def op10_line_quality(spark, sf_dir):
 def op6_url_cascade(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return url_filter.judge_urls(pages, url_filter.sample_list(pages))
+
+
+@register
+def op1_simhash(spark, sf_dir):
+    classes = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
