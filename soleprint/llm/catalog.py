@@ -2,11 +2,15 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from soleprint.llm import quality, simhash, url_filter
+from soleprint.llm.lengths import context_limits, length_histogram, token_lengths
 from soleprint.llm.oracles import ORACLES  # noqa: F401
+from soleprint.llm.tables import shared_path
+from soleprint.llm.token_file import read_tokens, token_index, write_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,3 +44,20 @@ def op1_simhash(spark, sf_dir):
     classes = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return classes.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def tokenizer_path() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register
+def op4_length_histogram(spark, sf_dir):
+    lengths = token_lengths(table(spark, sf_dir, "documents"), tokenizer_path())
+    return context_limits(length_histogram(lengths))
+
+
+@register
+def op7_token_orc(spark, sf_dir):
+    path = shared_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_index(read_tokens(spark, path))
