@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from soleprint.llm import quality, simhash, url_filter
 from soleprint.llm.lengths import context_limits, length_histogram, token_lengths
+from soleprint.llm.mixing import mix_copies
 from soleprint.llm.oracles import ORACLES  # noqa: F401
 from soleprint.llm.tables import shared_path
 from soleprint.llm.token_file import read_tokens, token_index, write_tokens
@@ -61,3 +62,10 @@ def op7_token_orc(spark, sf_dir):
     path = shared_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
     return token_index(read_tokens(spark, path))
+
+
+@register
+def op9_entropy_mix(spark, sf_dir):
+    mixed = mix_copies(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target",
+                        (F.col("size") * F.col("copies")).alias("taken"))
