@@ -1,55 +1,66 @@
 """Token ids of whole texts, by the tokenizers library, inside Arrow batches.
 
-A byte-level BPE never merges across the start of white space, so a text is encoded piece by
-piece: white space with the word behind it. Pieces repeat a lot, and each different one is encoded
-once per task. Texts with white space outside ASCII are encoded in one go, since what counts as
-white space there is the tokenizer's own affair.
+A byte-level BPE merges nothing across the start of white space, nor from a letter or digit into a
+mark behind it, so a text is encoded piece by piece: white space, marks, and the letters behind
+them. Pieces repeat a lot, and a Python worker encodes most different ones once. Texts with white
+space outside ASCII are encoded in one go, since what counts as white space there is the
+tokenizer's own affair, and so are those with an opening of a special token.
 """
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-ODD_SPACE = re.compile(
+PIECE = re.compile(r"[ \t\n\r]*(?:[^\w \t\n\r]|_)*[^\W_]+|[ \t\n\r]*(?:[^\w \t\n\r]|_)+|[ \t\n\r]+")
+WHOLE = re.compile(
     r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000"
-    r"\ufeff]")
-# Characters of text handled at a time, and pieces remembered by a task.
+    r"\ufeff]|<\|")
+# Characters of text handled at a time, and pieces that a Python worker remembers.
 SLICE_CHARS = 4_000_000
-CACHED_PIECES = 200_000
-
-
-@lru_cache(maxsize=4)
-def load_tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
-    return Tokenizer.from_file(path)
+CACHED_PIECES = 800_000
 
 
 class Encoder:
-    """Encodes lists of texts into int32 ids, remembering pieces between calls."""
+    """Encodes lists of texts into int32 ids, remembering pieces between calls.
+
+    The first pieces met are kept, which are mostly the frequent ones.
+    """
 
     def __init__(self, path: str):
-        self.tokenizer = load_tokenizer(path)
-        self.cache: dict[str, bytes] = {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
+        self.tokenizer = Tokenizer.from_file(path)
+        self.kept: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(one.ids, np.int32).tobytes() for one in done]
+        return [array("i", one.ids).tobytes() for one in done]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian int32 bytes."""
-        if len(self.cache) > CACHED_PIECES:
-            self.cache.clear()
-        pieces = [[t] if ODD_SPACE.search(t) else PIECE.findall(t) for t in texts]
-        fresh = list({p for own in pieces for p in own if p not in self.cache})
-        self.cache.update(zip(fresh, self._encode(fresh), strict=True))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, own)) for own in pieces]
+        kept = self.kept
+        pieces = [None if WHOLE.search(t) else PIECE.findall(t) for t in texts]
+        known = set().union(*filter(None, pieces))
+        fresh = list(known.difference(kept))
+        found = dict(zip(fresh, self._encode(fresh), strict=True))
+        if len(kept) + len(found) <= CACHED_PIECES:
+            kept.update(found)
+            found = kept
+        else:
+            found |= {p: kept[p] for p in known.intersection(kept)}
+        whole = iter(self._encode([t for t, own in zip(texts, pieces, strict=True) if own is None]))
+        get = found.__getitem__
+        return [next(whole) if own is None else b"".join(map(get, own)) for own in pieces]
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, which lives on from task to task."""
+    return Encoder(path)
 
 
 def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[list[str]]:
@@ -67,7 +78,7 @@ def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[list[str]]:
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, text: str = "text"):
     """For each slice of the batches: its other columns, and the ids of its texts as bytes."""
-    encoder = Encoder(path)
+    encoder = shared_encoder(path)
     for batch in batches:
         at, others = 0, batch.drop_columns([text])
         for part in slices(batch.column(text).to_pylist()):
