@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soleprint.llm import quality, simhash, url_filter
+from soleprint.llm import classifier, quality, simhash, url_filter
 from soleprint.llm.lengths import context_limits, length_histogram, token_lengths
 from soleprint.llm.mixing import mix_copies
 from soleprint.llm.oracles import ORACLES  # noqa: F401
@@ -69,3 +69,14 @@ def op9_entropy_mix(spark, sf_dir):
     mixed = mix_copies(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target",
                         (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register
+def op5_quality_embeddings(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    held_out = F.coalesce(classifier.fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = classifier.train(docs, labels.where(~held_out))
+    return classifier.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
