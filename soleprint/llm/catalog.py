@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soleprint.llm import classifier, quality, simhash, url_filter
+from soleprint.llm import classifier, decontaminate, quality, simhash, url_filter
 from soleprint.llm.lengths import context_limits, length_histogram, token_lengths
 from soleprint.llm.mixing import mix_copies
 from soleprint.llm.oracles import ORACLES  # noqa: F401
@@ -80,3 +80,11 @@ def op5_quality_embeddings(spark, sf_dir):
     return classifier.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@register
+def op2_decontamination(spark, sf_dir):
+    leaks = decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", F.round("share", 6).alias("share"),
+                        F.round("cosine", 4).alias("cosine"), "answer")
