@@ -98,22 +98,42 @@ def weigh(words: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, weights / max(1e-9, np.linalg.norm(weights))
 
 
-def latent_space(passages: DataFrame, idf: np.ndarray, search: Search) -> np.ndarray:
-    """The leading right singular vectors of the passages' TF-IDF matrix, a row per bucket.
+@dataclass(frozen=True)
+class Space:
+    """The latent space: a row for each bucket of the benchmark, the leading right singular vectors
+    of its TF-IDF matrix. All other buckets would have rows of zeros."""
+
+    buckets: np.ndarray
+    rows: np.ndarray
+
+    def fold(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """A vector of the space from buckets and their weights."""
+        place = np.minimum(np.searchsorted(self.buckets, at), len(self.buckets) - 1)
+        known = self.buckets[place] == at
+        return weights[known] @ self.rows[place[known]]
+
 
-    Randomised subspace iteration: each pass multiplies the matrix, spread over Spark's tasks, with
-    a thin one and the transposed matrix with the result; sums come back per bucket. Only buckets
-    that occur in the benchmark have rows other than zero.
+def latent_space(passages: DataFrame, idf: np.ndarray, search: Search) -> Space:
+    """The space of ``passages``, by randomised subspace iteration.
+
+    Each pass multiplies the matrix, spread over Spark's tasks, with a thin one and the transposed
+    matrix with the result; sums come back per bucket, of which there are at most ``BUCKETS``.
     """
-    def matrix(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [weigh(part, idf) for text in batch.column("text").to_pylist()
+    def parts(batch: pa.RecordBatch) -> list[list[bytes]]:
+        return [part for text in batch.column("text").to_pylist()
                 for part in cut_passages(words_of(text), search) if part]
 
-    def times(batches, thin: np.ndarray):
+    def found(batches):
+        for batch in batches:
+            own = {bucket(w) for part in parts(batch) for w in part}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(own), pa.int64())], ["bucket"])
+
+    def times(batches, thin: Space):
         for batch in batches:
             sums: dict[int, np.ndarray] = {}
-            for at, weights in matrix(batch):
-                low = weights @ thin[at]
+            for part in parts(batch):
+                at, weights = weigh(part, idf)
+                low = thin.fold(at, weights)
                 for b, w in zip(at.tolist(), weights.tolist(), strict=True):
                     sums[b] = sums.get(b, 0) + w * low
             yield pa.RecordBatch.from_arrays(
@@ -125,29 +145,23 @@ def latent_space(passages: DataFrame, idf: np.ndarray, search: Search) -> np.nda
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()),
                          "row": pa.array([total.tobytes()], pa.binary())})
 
-    def applied(thin: np.ndarray) -> np.ndarray:
+    def applied(thin: Space) -> np.ndarray:
         rows = passages.mapInArrow(partial(times, thin=thin), "bucket long, row binary")
-        result = np.zeros_like(thin)
-        for r in rows.groupBy("bucket").applyInArrow(add, "bucket long, row binary").collect():
-            result[r["bucket"]] = np.frombuffer(r["row"])
-        return result
-
-    thin = np.random.default_rng(7).standard_normal((BUCKETS, search.dims + 8)).astype(np.float64)
+        sums = rows.groupBy("bucket").applyInArrow(add, "bucket long, row binary").collect()
+        return np.array([np.frombuffer(r["row"]) for r in sorted(sums)])
+
+    used = np.array(sorted(r["bucket"] for r in passages.mapInArrow(
+        found, "bucket long").distinct().collect()), np.int64)
+    if not len(used):
+        return Space(np.zeros(1, np.int64) - 1, np.zeros((1, 1), np.float32))
+    width = min(search.dims + 8, len(used))
+    thin = Space(used, np.random.default_rng(7).standard_normal((len(used), width)))
     for _ in range(2):
-        product = applied(thin)
-        used = np.flatnonzero(product.any(axis=1))
-        if not len(used):
-            return np.zeros((BUCKETS, 1))
-        basis = np.linalg.qr(product[used])[0]
-        thin = np.zeros((BUCKETS, basis.shape[1]))
-        thin[used] = basis
-    product = applied(thin)
-    values, vectors = np.linalg.eigh(thin[used].T @ product[used])
+        thin = Space(used, np.linalg.qr(applied(thin))[0])
+    values, vectors = np.linalg.eigh(thin.rows.T @ applied(thin))
     kept = np.argsort(-values)[:search.dims]
     kept = kept[values[kept] > 1e-9 * values.max()]
-    space = np.zeros((BUCKETS, len(kept)), np.float32)
-    space[used] = thin[used] @ vectors[:, kept]
-    return space
+    return Space(used, (thin.rows @ vectors[:, kept]).astype(np.float32))
 
 
 def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
@@ -175,7 +189,7 @@ def answer_of(text: bytes) -> list[bytes]:
 class Index:
     """A block of passages, ready to be looked up in texts."""
 
-    def __init__(self, items: list[tuple[object, bytes]], idf, space, search: Search):
+    def __init__(self, items: list[tuple[object, bytes]], idf, space: Space, search: Search):
         self.search, self.idf = search, idf.astype(np.float32)
         self.ids, self.parts, self.answers, vectors = [], [], [], []
         for item, text in items:
@@ -185,12 +199,11 @@ class Index:
                     self.ids.append(item)
                     self.parts.append(part)
                     self.answers.append(answer_of(text))
-                    low = weights @ space[at]
+                    low = space.fold(at, weights)
                     vectors.append(low / max(1e-9, np.linalg.norm(low)))
-        used = np.flatnonzero(space.any(axis=1))
         self.place = np.zeros(BUCKETS, np.int32)
-        self.place[used] = np.arange(1, len(used) + 1)
-        self.space = np.vstack([np.zeros((1, space.shape[1]), np.float32), space[used]])
+        self.place[space.buckets] = np.arange(1, len(space.buckets) + 1)
+        self.space = np.vstack([np.zeros((1, space.rows.shape[1]), np.float32), space.rows])
         sizes = np.array([len(p) for p in self.parts])
         self.groups = []
         before = 0
@@ -294,7 +307,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search())
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     types = [arrow[doc_kind], pa.int64(), arrow[item_kind], pa.float64(), pa.float64(), pa.bool_()]
     context = docs.sparkSession.sparkContext
-    # Bounded by BUCKETS and ``dims``; most rows of the space are zero and compress well.
+    # Bounded by BUCKETS and ``dims``.
     idf_shared, space_shared = context.broadcast(idf), context.broadcast(space)
     passes = [rows.mapInArrow(partial(run, shared=context.broadcast(block)), schema)
               for block in _blocks(items, search.block)]

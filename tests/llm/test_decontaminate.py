@@ -87,5 +87,6 @@ def test_latent_space_is_that_of_the_plain_svd(spark):
     used = np.flatnonzero(matrix.any(axis=0))
     right = np.linalg.svd(matrix[:, used])[2][:20]
     best = np.linalg.norm(matrix[:, used] @ right.T)
-    assert np.linalg.norm(matrix @ space) >= 0.97 * best
-    assert np.allclose(space.T @ space, np.eye(20), atol=1e-4)
+    assert np.array_equal(space.buckets, used)
+    assert np.linalg.norm(matrix[:, used] @ space.rows) >= 0.97 * best
+    assert np.allclose(space.rows.T @ space.rows, np.eye(20), atol=1e-4)
