@@ -21,6 +21,8 @@ from soleprint.llm.encode import slices
 from soleprint.llm.tables import saved, union
 
 BUCKETS = 1 << 17
+# Words folded into the latent space at a time; a multiple of all steps between windows.
+WORDS_AT_ONCE = 16_000
 # Bytes that are no part of a word when they stand at its ends.
 MARKS = b".,;:!?\"'()[]{}<>|*#%&$-_"
 
@@ -37,7 +39,7 @@ class Search:
 
     windows: tuple[int, ...] = (20, 40, 80, 160)
     dims: int = 192
-    cosine: float = 0.35
+    cosine: float = 0.4
     lcs: float = 0.8
     lcs_answer: float = 0.5
     answer: float = 0.8
@@ -214,41 +216,69 @@ class Index:
                 self.groups.append((length, own, np.array([vectors[i] for i in own], np.float32)))
 
     def candidates(self, at: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """Passage, first word, window length and cosine of each window that comes near one."""
-        weight = self.idf[at]
-        known = self.place[at]
-        square = np.concatenate(([0.0], np.cumsum(weight.astype(np.float64) ** 2)))
-        inside = np.concatenate(([0.0], np.cumsum(np.where(known > 0, weight, 0) ** 2, dtype=float)))
-        for length, own, vectors in self.groups:
-            starts = np.arange(0, max(1, len(at) - length * 3 // 4 + 1), length // 4)
-            ends = np.minimum(starts + length, len(at))
-            # No vector is longer in the latent space than its part in the benchmark's words. Words
-            # that repeat make a longer vector; the window's own words are counted below.
-            share = (inside[ends] - inside[starts]) / np.maximum(1e-9, square[ends] - square[starts])
-            for i in np.flatnonzero(share >= self.search.cosine ** 2 / 2):
-                a, b = starts[i], ends[i]
-                buckets, counts = np.unique(at[a:b], return_counts=True)
-                weights = counts * self.idf[buckets]
-                low = weights @ self.space[self.place[buckets]]
-                cosines = vectors @ low / max(1e-9, np.linalg.norm(weights))
-                for j in np.flatnonzero(cosines >= self.search.cosine):
-                    yield int(own[j]), int(a), length, float(cosines[j])
-
-    def matches(self, words: list[bytes], at: np.ndarray) -> dict[object, tuple[float, float, bool]]:
-        """For each item found: the best share of its words in order, that window's cosine, and
-        whether the answer is there."""
-        found: dict[object, tuple[float, float, bool]] = {}
+        """Passage, first word, window length and cosine of each window that comes near one.
+
+        Windows begin at every quarter of their length, so sums over short steps give all of them.
+        Each word is weighed as if it were the only one of its kind: that makes the window's vector
+        shorter than it is, so nothing is missed, and the few that pass are measured exactly.
+        """
+        lengths = [length for length, _, _ in self.groups]
+        step, most = min(lengths, default=4) // 4, max(lengths, default=4)
+        least = self.search.cosine
+        for base in range(0, len(at), WORDS_AT_ONCE):
+            own = at[base:base + WORDS_AT_ONCE + most]
+            own = np.concatenate((own, np.full(-len(own) % most + most, -1)))
+            weight = np.where(own >= 0, self.idf[own], np.float32(0))
+            known = np.where(own >= 0, self.place[own], 0)
+            square = (weight ** 2).reshape(-1, step)
+            inside = np.where(known.reshape(-1, step) > 0, square, 0).sum(axis=1)
+            square = square.sum(axis=1)
+            rows = self.space[known]
+            rows *= weight[:, None]
+            rows = rows.reshape(-1, step, rows.shape[1]).sum(axis=1)
+            for length, chosen, vectors in self.groups:
+                def sums(x, many=length // 4 // step):
+                    x = x.reshape(-1, many, *x.shape[1:]).sum(axis=1)
+                    return x[:-3] + x[1:-2] + x[2:-1] + x[3:]
+                total = sums(square)
+                starts = np.arange(len(total)) * (length // 4)
+                near = np.flatnonzero((sums(inside) >= least ** 2 * total) & (total > 0)
+                                      & (starts < WORDS_AT_ONCE))
+                if not len(near):
+                    continue
+                cosines = (sums(rows)[near] @ vectors.T) / np.sqrt(total[near])[:, None]
+                for i in np.flatnonzero((cosines >= least).any(axis=1)):
+                    start = base + int(starts[near[i]])
+                    buckets, counts = np.unique(at[start:start + length], return_counts=True)
+                    weights = counts * self.idf[buckets]
+                    exact = vectors @ (weights @ self.space[self.place[buckets]])
+                    exact /= max(1e-9, np.linalg.norm(weights))
+                    for j in np.flatnonzero(exact >= least):
+                        yield int(chosen[j]), start, length, float(exact[j])
+
+    def matches(self, texts: list[list[bytes]], at: np.ndarray, ends: np.ndarray) -> list[dict]:
+        """For each text and item found in it: the best share of the item's words in order, that
+        window's cosine, and whether the answer is there.
+
+        Windows run over the texts one after the other; one that lies across a border is checked
+        against each of its texts by itself.
+        """
+        found: list[dict[object, tuple[float, float, bool]]] = [{} for _ in texts]
         s = self.search
         for i, start, length, cosine in self.candidates(at):
             part, answer = self.parts[i], self.answers[i]
-            text = words[max(0, start - length // 4):start + length + length // 4]
-            share = common_subsequence(part, text) / len(part)
-            if share < s.lcs_answer:
-                continue
-            there = bool(answer) and common_subsequence(answer, text) >= s.answer * len(answer)
-            if share >= s.lcs or there:
-                best = (share, cosine, there)
-                found[self.ids[i]] = max(found.get(self.ids[i], best), best)
+            first = np.searchsorted(ends, start, "right") - 1
+            last = np.searchsorted(ends, min(start + length, len(at)), "left")
+            for k in range(first, last):
+                a = max(0, start - length // 4 - ends[k])
+                text = texts[k][a:max(0, start + length + length // 4 - ends[k])]
+                share = common_subsequence(part, text) / len(part)
+                if share < s.lcs_answer:
+                    continue
+                there = bool(answer) and common_subsequence(answer, text) >= s.answer * len(answer)
+                if share >= s.lcs or there:
+                    best = (share, cosine, there)
+                    found[k][self.ids[i]] = max(found[k].get(self.ids[i], best), best)
         return found
 
 
@@ -294,8 +324,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search())
             for part in slices(batch.column("text").to_pylist(), 2_000_000):
                 own = [words_of(t) for t in part]
                 at, ends = _numbered(own)
-                for k, words in enumerate(own):
-                    hits = index.matches(words, at[ends[k]:ends[k + 1]]) if words else {}
+                for k, hits in enumerate(index.matches(own, at, ends)):
                     out += [(ids[first + k], marks[first + k], item, *values)
                             for item, values in hits.items()]
                 first += len(part)
