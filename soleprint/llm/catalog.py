@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soleprint.llm import classifier, decontaminate, quality, simhash, url_filter
+from soleprint.llm import classifier, decontaminate, quality, simhash, suffix, url_filter
 from soleprint.llm.lengths import context_limits, length_histogram, token_lengths
 from soleprint.llm.mixing import mix_copies
 from soleprint.llm.oracles import ORACLES  # noqa: F401
@@ -88,3 +88,12 @@ def op2_decontamination(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return leaks.select("doc_id", "item_id", F.round("share", 6).alias("share"),
                         F.round("cosine", 4).alias("cosine"), "answer")
+
+
+@register
+def op8_suffix_dedup(spark, sf_dir):
+    cut = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return cut.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
