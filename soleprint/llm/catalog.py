@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soleprint.llm import classifier, decontaminate, quality, simhash, suffix, url_filter
+from soleprint.llm import classifier, decontaminate, ngram, quality, simhash, suffix, url_filter
 from soleprint.llm.lengths import context_limits, length_histogram, token_lengths
 from soleprint.llm.mixing import mix_copies
 from soleprint.llm.oracles import ORACLES  # noqa: F401
@@ -97,3 +97,11 @@ def op8_suffix_dedup(spark, sf_dir):
     return cut.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"),
                       F.size("removed").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op3_interpolated_lm(spark, sf_dir):
+    held_out = F.coalesce(classifier.fold(F.col("doc_id"), 7) == 2, F.lit(False))
+    scored = ngram.score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
