@@ -28,12 +28,13 @@ def broadcastable(df: DataFrame) -> bool:
 def lookup_join(
     rows: DataFrame, table: DataFrame, key: str, table_key: str,
     hot_key_rows: int = HOT_KEY_ROWS, salted: bool | None = None,
+    salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Inner join of rows with a table that has one row per key; null keys never match.
 
     A small table is broadcast by Catalyst. A larger one is joined by shuffle, and the keys
-    that hold more than ``hot_key_rows`` rows are spread: their rows over several salts, and
-    their one table row copied to each. A stream has no counts to go by and takes the plain
+    that hold more than ``hot_key_rows`` rows are spread: their rows over several salts, by a
+    hash of the columns ``salt_by`` (all, if not given), and their one table row copied to each. A stream has no counts to go by and takes the plain
     join; ``foreachBatch`` gives it this form per micro-batch.
     """
     rows = rows.where(F.col(key).isNotNull())
@@ -42,7 +43,8 @@ def lookup_join(
     if not salted:
         return rows.join(table, F.col(key) == F.col(table_key), "inner")
 
-    # At most (all rows / hot_key_rows) keys can be hot, a count too small to outgrow a broadcast.
+    # At most (all rows / hot_key_rows) keys are hot. Their list grows with the rows, so Catalyst
+    # decides by its size how to join it.
     hot = (
         rows.groupBy(F.col(key).alias("_hot")).count()
         .where(F.col("count") > hot_key_rows)
@@ -50,30 +52,31 @@ def lookup_join(
     )
     splits = F.coalesce(F.col(_SPLITS), F.lit(1))
     spread = (
-        rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+        rows.join(hot, F.col(key) == F.col("_hot"), "left")
         # A hash of the row, not a random number: a task run again must choose the same salt.
-        .withColumn(_SALT, F.pmod(F.xxhash64(*rows.columns), splits).cast("int"))
+        .withColumn(_SALT, F.pmod(F.xxhash64(*(salt_by or rows.columns)), splits).cast("int"))
         .drop("_hot", _SPLITS)
     )
     copies = (
-        table.join(F.broadcast(hot), F.col(table_key) == F.col("_hot"), "left")
+        table.join(hot, F.col(table_key) == F.col("_hot"), "left")
         .withColumn("_table_salt", F.explode(F.sequence(F.lit(0), splits - 1)))
         .drop("_hot", _SPLITS)
     )
     matched = (F.col(key) == F.col(table_key)) & (F.col(_SALT) == F.col("_table_salt"))
-    return spread.join(copies, matched, "inner").drop(_SALT, "_table_salt")
+    return spread.join(copies.hint("merge"), matched, "inner").drop(_SALT, "_table_salt")
 
 
 def enrich(
     clicks: DataFrame, shoes: DataFrame,
     hot_key_rows: int = HOT_KEY_ROWS, salted: bool | None = None,
+    salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Clicks with the name of their product; clicks of an unknown product are dropped.
 
     A product without a name keeps its clicks, with a null ``product_name``.
     """
     names = shoes.select(F.col("id").alias("_id"), F.col("name").alias("product_name"))
-    joined = lookup_join(clicks, names, "product_id", "_id", hot_key_rows, salted)
+    joined = lookup_join(clicks, names, "product_id", "_id", hot_key_rows, salted, salt_by)
     return joined.select(*clicks.columns, "product_name")
 
 

@@ -56,7 +56,9 @@ def click_source(spark, sf_dir):
 
 @register
 def shoe_source(spark, sf_dir):
-    return views.shoes(spark, sf_dir).drop("sale_price")
+    # Both engines write the price with two digits.
+    price = F.format_string("%.2f", F.col("sale_price").cast("double"))
+    return views.shoes(spark, sf_dir).withColumn("sale_price", price)
 
 
 @register
@@ -130,10 +132,9 @@ def enriched_clicks(spark, sf_dir):
 
 @register
 def enriched_clicks_salted(spark, sf_dir):
-    # A share of the clicks, so that there are hot keys at any scale and few hundred salts.
-    clicks = views.clicks(spark, sf_dir)
-    share = max(1, clicks.count() // 200)
-    return joins.enrich(clicks, views.shoes(spark, sf_dir), hot_key_rows=share, salted=True)
+    # A low limit, so that small tables have hot keys too.
+    return joins.enrich(views.clicks(spark, sf_dir), views.shoes(spark, sf_dir),
+                        hot_key_rows=100, salted=True, salt_by=["event_id"])
 
 
 @register
@@ -316,6 +317,16 @@ def running_total_stream(spark, sf_dir):
     return read_log(spark, streams.log_path(root, "counter"), schema).drop(BATCH_ID)
 
 
+@register
+def raw_click_stream(spark, sf_dir):
+    root = _stream_root(spark)
+    records = views.click_records(views.clicks(spark, sf_dir, stream=True))
+    good, _ = jobs.decode_clicks(records)
+    good = good.select("record_key", *views.CLICK_FIELDS, "payload_ts")
+    streams.start_reader(good, root, "raw_clicks").awaitTermination()
+    return spark.read.schema(good.schema).parquet(streams.log_path(root, "raw_clicks"))
+
+
 @register
 def click_counter_stateful(spark, sf_dir):
     root = _stream_root(spark)

@@ -18,7 +18,7 @@ clicks AS (
   SELECT * EXCLUDE (event_type) FROM click_form WHERE event_type IN ('view', 'click', 'error')),
 shoes AS (
   SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS brand, p_name AS name,
-    p_size / 10.0::DOUBLE AS rating
+    p_size / 10.0::DOUBLE AS rating, printf('%.2f', p_retailprice) AS sale_price
   FROM part),
 shoe_updates AS (
   SELECT event_id, k AS id, 'shoe-' || k || '-v' || (v // 50) AS name, ts
@@ -187,4 +187,6 @@ _BODIES = {
         FROM hopping""",
 }
 
+_BODIES["raw_click_stream"] = _BODIES["raw_click_scan"]
+
 ORACLES = {name: BASE + body for name, body in _BODIES.items()}

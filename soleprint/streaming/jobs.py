@@ -46,10 +46,21 @@ def log_path(root: str, name: str) -> str:
     return f"{root}/{name}"
 
 
-def start_console(rows: DataFrame, root: str, **trigger: object) -> StreamingQuery:
-    """Print rows as they come, to look at a source; twenty of each micro-batch."""
+def start_reader(rows: DataFrame, root: str, name: str, **trigger: object) -> StreamingQuery:
+    """Write every row as it comes to Parquet files in ``root``/``name``."""
     return (
-        rows.writeStream.format("console").option("truncate", "false")
+        rows.writeStream.format("parquet").option("path", log_path(root, name))
+        .option("checkpointLocation", f"{root}/_checkpoints/{name}")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def start_console(rows: DataFrame, root: str, shown: int, **trigger: object) -> StreamingQuery:
+    """Print the first ``shown`` rows of each micro-batch, to look at a source; use
+    ``start_reader`` for all rows."""
+    return (
+        rows.writeStream.format("console").option("truncate", "false").option("numRows", shown)
         .option("checkpointLocation", f"{root}/_checkpoints/console")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -65,9 +76,15 @@ def start_shoe_table(
     return _start(shoes, root, "shoes", reduce, "append", trigger)
 
 
-def current_shoes(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The product table as the micro-batches finished so far left it."""
-    return read_latest(spark, log_path(root, "shoes"), schema, ["id"])
+def current_shoes(
+    spark: SparkSession, root: str, schema: T.StructType, missing_ok: bool = False
+) -> DataFrame:
+    """The product table as the micro-batches finished so far left it.
+
+    Before the first of them it is an error to ask, as clicks joined with no product are lost;
+    ``missing_ok`` gives an empty table instead.
+    """
+    return read_latest(spark, log_path(root, "shoes"), schema, ["id"], missing_ok)
 
 
 def start_enrichment(
@@ -80,9 +97,9 @@ def start_enrichment(
 
 
 def enriched_stream(spark: SparkSession, root: str, schema: T.StructType, **options: str) -> DataFrame:
-    """The enriched clicks as a stream of the files that ``start_enrichment`` finishes."""
+    """The enriched clicks as a stream of the batches that ``start_enrichment`` publishes."""
     path = make_dir(spark, log_path(root, "enriched"))
-    return spark.readStream.schema(schema).options(**options).parquet(f"{path}/*")
+    return spark.readStream.schema(schema).options(**options).parquet(f"{path}/{BATCH_ID}=*")
 
 
 def start_view_counts(
@@ -137,7 +154,7 @@ def start_click_counter(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         earlier = latest_by_key(
-            read_log(spark, totals, totals_schema).where(F.col(BATCH_ID) < batch_id),
+            read_log(spark, totals, totals_schema, missing_ok=True).where(F.col(BATCH_ID) < batch_id),
             ["key", *by], [BATCH_ID],
         ).drop(BATCH_ID)
         batch = batch.select(*dict.fromkeys([*by, *order])).persist()

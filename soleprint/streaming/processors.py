@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from soleprint.operators.counters import RESET_SECONDS, TICK_SECONDS, TOTAL_KEY
+from soleprint.session import STATE_STORE_CONF
 
 # Python workers get these classes with the query, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -25,7 +26,12 @@ def process_keyed(
     mode: str = "append", time_mode: str = "none",
 ) -> DataFrame:
     """Run a stateful processor per key. ``time_mode`` is ``none``, ``processingTime`` or
-    ``eventTime``; the last needs a watermark on ``rows``."""
+    ``eventTime``; the last needs a watermark on ``rows``.
+
+    Sets the state store that such processors need for queries that the session starts from now on.
+    """
+    for name, value in STATE_STORE_CONF.items():
+        rows.sparkSession.conf.set(name, value)
     return rows.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode=mode, timeMode=time_mode)
 

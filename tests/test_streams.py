@@ -5,18 +5,22 @@ import os
 import time
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from compare import assert_same, duck
 from soleprint import sinks
 from soleprint.operators import counters, windows
 from soleprint.operators.peek import peek
 from soleprint.plans import jobs as jobs_batch
 from soleprint.plans import testviews as views
+from soleprint.plans.catalog import QUERIES
+from soleprint.plans.oracles import ORACLES
 from soleprint.schemas import CLICK, RECORD
 from soleprint.sources import decode_records, good_records, quarantined
 from soleprint.streaming import jobs
-from soleprint.streaming.batchlog import compact_log, read_latest, read_log
+from soleprint.streaming.batchlog import append_batch, compact_log, read_latest, read_log
 from soleprint.streaming.processors import ClickCounter, StreamClock, process_keyed
 from soleprint.streaming.progress import Progress
 
@@ -162,10 +166,47 @@ def test_table_is_refreshed_between_batches(spark, tmp_path):
 def test_enrichment_before_any_product(spark, click_folder, tmp_path):
     root = str(tmp_path)
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("name", T.StringType())])
+    with pytest.raises(AnalysisException):
+        jobs.current_shoes(spark, root, schema)
     jobs.start_enrichment(
         open_clicks(spark, click_folder),
-        lambda session: jobs.current_shoes(session, root, schema), root).awaitTermination()
-    assert spark.read.parquet(f"{root}/enriched").count() == 0
+        lambda session: jobs.current_shoes(session, root, schema, missing_ok=True),
+        root).awaitTermination()
+    assert read_log(spark, f"{root}/enriched", schema).count() == 0
+
+
+def test_failed_attempt_is_never_seen(spark, tmp_path):
+    """A job further down, running while a batch fails and is run again, counts it once."""
+    path, out = str(tmp_path / "enriched"), str(tmp_path / "out")
+    rows = spark.createDataFrame([(1,), (2,)], "id long")
+
+    def follow():
+        stream = jobs.enriched_stream(spark, str(tmp_path), rows.schema)
+        jobs.start_reader(stream, out, "seen").awaitTermination()
+        return spark.read.schema(rows.schema).parquet(f"{out}/seen").count()
+    rows.write.parquet(f"{path}/_staged/batch_id=0")  # stopped before it was published
+    assert follow() == 0
+    append_batch(rows, path, 0)
+    assert follow() == 2
+    append_batch(rows, path, 0)
+    assert follow() == 2 and read_log(spark, path, rows.schema).count() == 2
+
+
+def test_reader_takes_every_row(spark, tmp_path):
+    folder, root = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(500).coalesce(1).write.parquet(folder)
+    stream = spark.readStream.schema("id long").parquet(folder)
+    jobs.start_reader(stream, root, "raw").awaitTermination()
+    assert spark.read.parquet(f"{root}/raw").count() == 500
+
+
+def test_keyed_state_in_any_session(spark, sf_dir):
+    plain = spark.newSession()
+    plain.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    got = QUERIES["click_counter_stateful"](plain, sf_dir).toPandas()
+    assert_same(got, duck(sf_dir).execute(ORACLES["click_counter_stateful"]).df())
 
 
 def test_rows_past_the_watermark_are_dropped(spark, tmp_path):
