@@ -10,7 +10,8 @@ long enough, or somewhat shorter but with the passage's answer in it.
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,12 +56,14 @@ def bucket(word: bytes) -> int:
     return zlib.crc32(word) % BUCKETS
 
 
-def _numbered(own: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """All words of all texts as buckets, and where each text begins and the last ends."""
-    different = list(set().union(*own))
-    place = dict(zip(different, map(bucket, different), strict=True)).__getitem__
-    ends = np.cumsum([0, *map(len, own)])
-    return np.fromiter((place(w) for one in own for w in one), np.int64, int(ends[-1])), ends
+def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts, as of ``words_of``, by their buckets; and where each text begins and
+    the last one ends. Each different word is looked at once."""
+    own = [t.lower().split() for t in texts]
+    place = {w: bucket(plain) if (plain := w.strip(MARKS)) else -1 for w in set().union(*own)}
+    at = np.fromiter(map(place.__getitem__, chain.from_iterable(own)), np.int64)
+    real = np.concatenate(([0], np.cumsum(at >= 0)))
+    return at[at >= 0], real[np.cumsum([0, *map(len, own)])]
 
 
 def passage_frequencies(docs: DataFrame, length: int = 80) -> tuple[np.ndarray, int]:
@@ -69,7 +72,7 @@ def passage_frequencies(docs: DataFrame, length: int = 80) -> tuple[np.ndarray,
         found, total = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
             for part in slices(batch.column("text").to_pylist(), 2_000_000):
-                at, ends = _numbered([words_of(t) for t in part])
+                at, ends = _numbered(part)
                 sizes = np.diff(ends)
                 parts = -(-sizes // length)
                 first = np.repeat(np.cumsum(parts) - parts, sizes)
@@ -233,12 +236,11 @@ class Index:
             square = (weight ** 2).reshape(-1, step)
             inside = np.where(known.reshape(-1, step) > 0, square, 0).sum(axis=1)
             square = square.sum(axis=1)
-            rows = self.space[known]
-            rows *= weight[:, None]
-            rows = rows.reshape(-1, step, rows.shape[1]).sum(axis=1)
+            rows = self.space.take(known, axis=0).reshape(len(known) // step, step, -1)
+            rows = (weight.astype(np.float32).reshape(-1, 1, step) @ rows)[:, 0]
             for length, chosen, vectors in self.groups:
                 def sums(x, many=length // 4 // step):
-                    x = x.reshape(-1, many, *x.shape[1:]).sum(axis=1)
+                    x = x.reshape(-1, many, *x.shape[1:]).sum(axis=1) if many > 1 else x
                     return x[:-3] + x[1:-2] + x[2:-1] + x[3:]
                 total = sums(square)
                 starts = np.arange(len(total)) * (length // 4)
@@ -256,7 +258,7 @@ class Index:
                     for j in np.flatnonzero(exact >= least):
                         yield int(chosen[j]), start, length, float(exact[j])
 
-    def matches(self, texts: list[list[bytes]], at: np.ndarray, ends: np.ndarray) -> list[dict]:
+    def matches(self, texts: list[bytes], at: np.ndarray, ends: np.ndarray) -> list[dict]:
         """For each text and item found in it: the best share of the item's words in order, that
         window's cosine, and whether the answer is there.
 
@@ -264,6 +266,7 @@ class Index:
         against each of its texts by itself.
         """
         found: list[dict[object, tuple[float, float, bool]]] = [{} for _ in texts]
+        words = lru_cache(maxsize=4)(lambda k: words_of(texts[k]))
         s = self.search
         for i, start, length, cosine in self.candidates(at):
             part, answer = self.parts[i], self.answers[i]
@@ -271,7 +274,7 @@ class Index:
             last = np.searchsorted(ends, min(start + length, len(at)), "left")
             for k in range(first, last):
                 a = max(0, start - length // 4 - ends[k])
-                text = texts[k][a:max(0, start + length + length // 4 - ends[k])]
+                text = words(k)[a:max(0, start + length + length // 4 - ends[k])]
                 share = common_subsequence(part, text) / len(part)
                 if share < s.lcs_answer:
                     continue
@@ -322,9 +325,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search())
             out = []
             first = 0
             for part in slices(batch.column("text").to_pylist(), 2_000_000):
-                own = [words_of(t) for t in part]
-                at, ends = _numbered(own)
-                for k, hits in enumerate(index.matches(own, at, ends)):
+                for k, hits in enumerate(index.matches(part, *_numbered(part))):
                     out += [(ids[first + k], marks[first + k], item, *values)
                             for item, values in hits.items()]
                 first += len(part)
