@@ -12,6 +12,7 @@ them up. Words and bigrams travel as hashes, many to a row, and texts in compres
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -41,44 +42,48 @@ class Shape:
 
 
 class Tokens:
-    """The tokens of some texts: hashes ``words``, and the text each belongs to.
+    """The tokens of some texts: lower-case words, and an end after each text.
 
-    Lower-case words, and an end after each text; ``before`` is the token before each.
+    ``kinds`` and ``pair_kinds`` are the hashes of all different tokens (and of the start of texts)
+    and bigrams; ``word``, ``before`` and ``pair`` say for each token which it is, follows and
+    ends; ``text`` is the text it belongs to.
     """
 
     def __init__(self, texts: list[bytes]):
         own = [t.lower().split() for t in texts]
         different = list(set().union(*own))
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in different], np.uint64)
-        place = dict(zip(different, range(len(different)), strict=True)).__getitem__
-        sizes = np.array([len(one) + 1 for one in own], np.int64)
-        self.words = np.full(int(sizes.sum()), END)
-        self.ends = np.cumsum(sizes)
-        for one, end in zip(own, self.ends.tolist(), strict=True):
-            if one:
-                self.words[end - 1 - len(one):end - 1] = hashes[
-                    np.fromiter(map(place, one), np.int64, len(one))]
-        self.before = np.concatenate(([START], self.words[:-1]))[:len(self.words)]
-        self.before[self.ends[:-1]] = START
+        place = dict(zip(different, range(len(different)), strict=True))
+        hashes = [xxhash.xxh64_intdigest(w) for w in different]
+        self.kinds = np.append(np.array(hashes, np.uint64), [END, START])
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) + 1
+        ends = np.cumsum(sizes) - 1
+        self.word = np.full(int(sizes.sum()), len(different))
+        inner = np.ones(len(self.word), bool)
+        inner[ends] = False
+        self.word[inner] = np.fromiter(
+            map(place.__getitem__, chain.from_iterable(own)), np.int64, int(inner.sum()))
+        self.before = np.roll(self.word, 1)
+        self.before[np.append(0, ends[:-1] + 1)] = len(different) + 1
         self.text = np.repeat(np.arange(len(texts)), sizes)
-        pair = self.before * MIX[0] + self.words
+        pair = self.kinds[self.before] * MIX[0] + self.kinds[self.word]
         pair = (pair ^ pair >> MIX[2]) * MIX[1]
-        self.pairs = pair ^ pair >> MIX[2]
+        self.pair_kinds, self.pair = np.unique(pair ^ pair >> MIX[2], return_inverse=True)
 
 
 class Keys:
     """All different hashes of a chunk's tokens and bigrams, in the order in which they are sent:
-    part by part, ascending."""
+    part by part, ascending; and where those of each token are among them."""
 
     def __init__(self, tokens: Tokens, parts: int):
-        keys = np.unique(np.concatenate((tokens.words, tokens.pairs, [START])))
+        keys = np.unique(np.concatenate((tokens.kinds, tokens.pair_kinds)))
         part = (keys % np.uint64(parts)).astype(np.int64)
         self.order = np.argsort(part, kind="stable")
         self.ends = np.searchsorted(part[self.order], np.arange(parts + 1))
         self.sorted = keys
-
-    def place(self, own: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.sorted, own)
+        kinds = np.searchsorted(keys, tokens.kinds)
+        self.start = kinds[-1]
+        self.word, self.before = kinds[tokens.word], kinds[tokens.before]
+        self.pair = np.searchsorted(keys, tokens.pair_kinds)[tokens.pair]
 
 
 def _packed(rows: DataFrame, chunks: int) -> DataFrame:
@@ -120,11 +125,11 @@ def _ask(packed: DataFrame, parts: int) -> DataFrame:
         learned = np.asarray(table.column("learn").to_pylist(), bool)
         use = learned[tokens.text]
         counts = np.zeros(len(keys.sorted), np.int64)
-        for own in (tokens.words[use], tokens.pairs[use]):
-            counts += np.bincount(keys.place(own), minlength=len(counts))
-        counts[keys.place([START])] += int(learned.sum())
+        for own in (keys.word[use], keys.pair[use]):
+            counts += np.bincount(own, minlength=len(counts))
+        counts[keys.start] += int(learned.sum())
         word = np.zeros(len(counts), bool)
-        word[keys.place(tokens.words)] = True
+        word[keys.word] = True
         short = (keys.sorted >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         rows = []
         for part in range(parts):
@@ -151,8 +156,8 @@ def _answer(asked: DataFrame) -> DataFrame:
         keys = [wide(k) for k in group["keys"]]
         every, place = np.unique(np.concatenate(keys), return_inverse=True)
         counts = np.concatenate([np.frombuffer(c, np.int32) for c in group["counts"]])
-        total = np.zeros(len(every), np.int64)
-        np.add.at(total, place, counts)
+        # As doubles, which hold whole numbers up to 2 ** 53.
+        total = np.bincount(place, weights=counts, minlength=len(every)).astype(np.int64)
         word = np.concatenate([np.unpackbits(np.frombuffer(w, np.uint8), count=len(k)).astype(bool)
                                for w, k in zip(group["words"], keys, strict=True)])
         words = np.zeros(len(every), bool)
@@ -179,8 +184,7 @@ class Counted:
         for part, own in zip(answers["part"], answers["counts"], strict=True):
             counts[keys.order[keys.ends[part]:keys.ends[part + 1]]] = np.frombuffer(own, np.int64)
         self.word, self.pair, self.context = (
-            counts[keys.place(own)]
-            for own in (self.tokens.words, self.tokens.pairs, self.tokens.before))
+            counts[own] for own in (keys.word, keys.pair, keys.before))
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
