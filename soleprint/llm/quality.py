@@ -131,12 +131,15 @@ def line_quality(
         repeat_words.alias("n_repeat_words"),
         F.when(F.size("passed") == F.size("lines"), word_chars)
         .otherwise(_without(cleaned, r"[\x20\x09-\x0D]+")).cast("long").alias("left"),
+        # A filter on ``kept`` would be moved below the arrays, and each element would build them
+        # anew. No filter moves below a column that differs by partition.
+        F.monotonically_increasing_id().alias("here"),
     )
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.repeat_share * F.col("n_words"))
     values = values.withColumn("base_failed", failed)
     enough = 100 * F.col("left") >= rules.kept_share * F.col("word_chars")
-    values = values.withColumn("kept", ~F.col("base_failed") & enough)
+    values = values.withColumn("kept", ~F.col("base_failed") & enough & (F.col("here") >= 0))
     return values.select("row.*", *[F.col(name).alias(prefix + name) for name in own]).drop(
         "`quality.`")
 
