@@ -1,8 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark passages become TF-IDF vectors, with passage frequencies from the whole corpus. Their
-leading right singular vectors, by a randomised SVD whose passes over the passages run on Spark,
-span the latent space. Windows of every document are folded into it, and a high cosine makes a
+Benchmark passages become TF-IDF vectors, with passage frequencies from the whole corpus. Groups of
+them get latent spaces, spanned by their leading right singular vectors, by a randomised SVD whose
+passes over the passages run on Spark. A group has no more passages than its space dimensions, so
+that no passage is shortened in it, however large the benchmark. Windows of every document are folded into it, and a high cosine makes a
 candidate. A candidate counts if the longest common subsequence of its words and the passage's is
 long enough, or somewhat shorter but with the passage's answer in it.
 """
@@ -32,14 +33,15 @@ MARKS = b".,;:!?\"'()[]{}<>|*#%&$-_"
 class Search:
     """``windows`` are lengths in words; a passage of n words is searched in the first window with
     room for n and a third more, at steps of a quarter. Longer passages are cut into parts of
-    three quarters of the longest window. ``dims`` is the rank of the latent space, ``cosine`` makes
+    three quarters of the longest window. ``dims`` is the highest rank of a latent space and the
+    number of passages that share one. ``cosine`` makes
     a candidate, ``lcs`` is the share of the passage that suffices alone, ``lcs_answer`` the one
     that does if ``answer`` of the answer's words are there as well. ``block`` is the number of
     passages looked for in one pass over the documents: it bounds what is sent to the tasks.
     """
 
     windows: tuple[int, ...] = (20, 40, 80, 160)
-    dims: int = 192
+    dims: int = 256
     cosine: float = 0.4
     lcs: float = 0.8
     lcs_answer: float = 0.5
@@ -97,6 +99,20 @@ def cut_passages(words: list[bytes], search: Search) -> list[list[bytes]]:
     return [words[a:a + most] for a in range(0, max(1, len(words)), most)]
 
 
+@dataclass(frozen=True)
+class Passage:
+    """A part of an item, and the words of the item's answer."""
+
+    item: object
+    words: list[bytes]
+    answer: list[bytes]
+
+
+def passages_of(items: list[tuple[object, bytes]], search: Search) -> list[Passage]:
+    return [Passage(item, part, answer_of(text)) for item, text in items
+            for part in cut_passages(words_of(text), search) if part]
+
+
 def weigh(words: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at, counts = np.unique([bucket(w) for w in words], return_counts=True)
     weights = counts * idf[at]
@@ -145,14 +161,17 @@ def latent_space(passages: DataFrame, idf: np.ndarray, search: Search) -> Space:
                 [pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()],
                                                             pa.binary())], ["bucket", "row"])
 
-    def add(key, group):
-        total = sum(np.frombuffer(row) for row in group.column("row").to_pylist())
-        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()),
-                         "row": pa.array([total.tobytes()], pa.binary())})
+    def add(group):
+        found, place = np.unique(group.column("bucket").to_numpy(), return_inverse=True)
+        total = np.zeros((len(found), width))
+        for i, row in zip(place.tolist(), group.column("row").to_pylist(), strict=True):
+            total[i] += np.frombuffer(row)
+        return pa.table({"bucket": pa.array(found, pa.int64()),
+                         "row": pa.array([v.tobytes() for v in total], pa.binary())})
 
     def applied(thin: Space) -> np.ndarray:
         rows = passages.mapInArrow(partial(times, thin=thin), "bucket long, row binary")
-        sums = rows.groupBy("bucket").applyInArrow(add, "bucket long, row binary").collect()
+        sums = rows.groupBy(F.col("bucket") % 32).applyInArrow(add, "bucket long, row binary").collect()
         return np.array([np.frombuffer(r["row"]) for r in sorted(sums)])
 
     used = np.array(sorted(r["bucket"] for r in passages.mapInArrow(
@@ -192,24 +211,18 @@ def answer_of(text: bytes) -> list[bytes]:
 
 
 class Index:
-    """A block of passages, ready to be looked up in texts."""
-
-    def __init__(self, items: list[tuple[object, bytes]], idf, space: Space, search: Search):
-        self.search, self.idf = search, idf.astype(np.float32)
-        self.ids, self.parts, self.answers, vectors = [], [], [], []
-        for item, text in items:
-            for part in cut_passages(words_of(text), search):
-                if part:
-                    at, weights = weigh(part, idf)
-                    self.ids.append(item)
-                    self.parts.append(part)
-                    self.answers.append(answer_of(text))
-                    low = space.fold(at, weights)
-                    vectors.append(low / max(1e-9, np.linalg.norm(low)))
+    """Passages and their space, ready to be looked up in texts."""
+
+    def __init__(self, passages: list[Passage], idf, space: Space, search: Search):
+        self.search, self.idf, self.passages = search, idf.astype(np.float32), passages
+        vectors = []
+        for passage in passages:
+            low = space.fold(*weigh(passage.words, idf))
+            vectors.append(low / max(1e-9, np.linalg.norm(low)))
         self.place = np.zeros(BUCKETS, np.int32)
         self.place[space.buckets] = np.arange(1, len(space.buckets) + 1)
         self.space = np.vstack([np.zeros((1, space.rows.shape[1]), np.float32), space.rows])
-        sizes = np.array([len(p) for p in self.parts])
+        sizes = np.array([len(p.words) for p in passages])
         self.groups = []
         before = 0
         for length in search.windows:
@@ -258,31 +271,34 @@ class Index:
                     for j in np.flatnonzero(exact >= least):
                         yield int(chosen[j]), start, length, float(exact[j])
 
-    def matches(self, texts: list[bytes], at: np.ndarray, ends: np.ndarray) -> list[dict]:
-        """For each text and item found in it: the best share of the item's words in order, that
-        window's cosine, and whether the answer is there.
 
-        Windows run over the texts one after the other; one that lies across a border is checked
-        against each of its texts by itself.
-        """
-        found: list[dict[object, tuple[float, float, bool]]] = [{} for _ in texts]
-        words = lru_cache(maxsize=4)(lambda k: words_of(texts[k]))
-        s = self.search
-        for i, start, length, cosine in self.candidates(at):
-            part, answer = self.parts[i], self.answers[i]
+def matches(indexes: list[Index], texts: list[bytes], at: np.ndarray, ends: np.ndarray,
+            search: Search) -> list[dict]:
+    """For each text and item found in it: the best share of the item's words in order, that
+    window's cosine, and whether the answer is there.
+
+    Windows run over the texts one after the other; one that lies across a border is checked
+    against each of its texts by itself.
+    """
+    found: list[dict[object, tuple[float, float, bool]]] = [{} for _ in texts]
+    words = lru_cache(maxsize=4)(lambda k: words_of(texts[k]))
+    for index in indexes:
+        for i, start, length, cosine in index.candidates(at):
+            own = index.passages[i]
             first = np.searchsorted(ends, start, "right") - 1
             last = np.searchsorted(ends, min(start + length, len(at)), "left")
             for k in range(first, last):
                 a = max(0, start - length // 4 - ends[k])
                 text = words(k)[a:max(0, start + length + length // 4 - ends[k])]
-                share = common_subsequence(part, text) / len(part)
-                if share < s.lcs_answer:
+                share = common_subsequence(own.words, text) / len(own.words)
+                if share < search.lcs_answer:
                     continue
-                there = bool(answer) and common_subsequence(answer, text) >= s.answer * len(answer)
-                if share >= s.lcs or there:
+                there = bool(own.answer) and (
+                    common_subsequence(own.answer, text) >= search.answer * len(own.answer))
+                if share >= search.lcs or there:
                     best = (share, cosine, there)
-                    found[k][self.ids[i]] = max(found[k].get(self.ids[i], best), best)
-        return found
+                    found[k][own.item] = max(found[k].get(own.item, best), best)
+    return found
 
 
 def _blocks(rows: DataFrame, size: int) -> Iterator[list[tuple[object, bytes]]]:
@@ -316,16 +332,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search())
         return docs.sparkSession.createDataFrame([], schema)
     frequency, total = passage_frequencies(rows)
     idf = np.log((total + 1) / (frequency + 1)) + 0.05
-    space = latent_space(items, idf, search)
+    spark = docs.sparkSession
+
+    def with_spaces(block: list[tuple[object, bytes]]) -> list[tuple[list[Passage], Space]]:
+        all_parts = passages_of(block, search)
+        groups = [all_parts[a:a + search.dims] for a in range(0, len(all_parts), search.dims)]
+        return [(group, latent_space(spark.createDataFrame(
+            [(b" ".join(p.words),) for p in group], "text binary"), idf, search))
+            for group in groups]
 
     def run(batches, shared):
-        index = Index(shared.value, idf_shared.value, space_shared.value, search)
+        indexes = [Index(group, idf_shared.value, space, search) for group, space in shared.value]
         for batch in batches:
             ids, marks = batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist()
             out = []
             first = 0
             for part in slices(batch.column("text").to_pylist(), 2_000_000):
-                for k, hits in enumerate(index.matches(part, *_numbered(part))):
+                for k, hits in enumerate(
+                        matches(indexes, part, *_numbered(part), search)):
                     out += [(ids[first + k], marks[first + k], item, *values)
                             for item, values in hits.items()]
                 first += len(part)
@@ -336,10 +360,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search())
     names = ["doc_id", "mark", "item_id", "share", "cosine", "answer"]
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     types = [arrow[doc_kind], pa.int64(), arrow[item_kind], pa.float64(), pa.float64(), pa.bool_()]
-    context = docs.sparkSession.sparkContext
-    # Bounded by BUCKETS and ``dims``.
-    idf_shared, space_shared = context.broadcast(idf), context.broadcast(space)
-    passes = [rows.mapInArrow(partial(run, shared=context.broadcast(block)), schema)
+    context = spark.sparkContext
+    # Bounded by BUCKETS, ``dims`` and ``block``.
+    idf_shared = context.broadcast(idf)
+    passes = [rows.mapInArrow(partial(run, shared=context.broadcast(with_spaces(block))), schema)
               for block in _blocks(items, search.block)]
     return union(passes)
 

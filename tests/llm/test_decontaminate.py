@@ -90,3 +90,24 @@ def test_latent_space_is_that_of_the_plain_svd(spark):
     assert np.array_equal(space.buckets, used)
     assert np.linalg.norm(matrix[:, used] @ space.rows) >= 0.97 * best
     assert np.allclose(space.rows.T @ space.rows, np.eye(20), atol=1e-4)
+
+
+def zipf_words(rng, n, vocabulary=50_000):
+    """Words whose frequencies fall as their rank grows."""
+    return [f"v{int(vocabulary ** rng.random())}" for _ in range(n)]
+
+
+def test_large_benchmark_loses_no_copy(spark):
+    rng = random.Random(6)
+    items = [zipf_words(rng, 40) for _ in range(2000)]
+    docs, want = [], set()
+    for i, item in enumerate(items):  # verbatim in one document, every ninth word changed elsewhere
+        changed = [w if k % 9 else f"other{i}x{k}" for k, w in enumerate(item, 1)]
+        for doc_id, copy in ((i, item), (10_000 + i, changed)):
+            docs.append((doc_id, " ".join(zipf_words(rng, 40) + copy + zipf_words(rng, 40))))
+            want.add((doc_id, i))
+    got = d.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)],
+                              "item_id long, text string"))
+    assert want <= {(r["doc_id"], r["item_id"]) for r in got.collect()}
