@@ -34,8 +34,9 @@ class Search:
     """``windows`` are lengths in words; a passage of n words is searched in the first window with
     room for n and a third more, at steps of a quarter. Longer passages are cut into parts of
     three quarters of the longest window. ``dims`` is the highest rank of a latent space and the
-    number of passages that share one. ``cosine`` makes
-    a candidate, ``lcs`` is the share of the passage that suffices alone, ``lcs_answer`` the one
+    number of passages that share one. ``cosine`` makes a candidate: it is the product of window
+    and passage over the square of the passage's length, or over the product of both lengths if the
+    window's is smaller. So a copy reaches 1 whatever words stand around it. Of a candidate, ``lcs`` is the share of the passage that suffices alone, ``lcs_answer`` the one
     that does if ``answer`` of the answer's words are there as well. ``block`` is the number of
     passages looked for in one pass over the documents: it bounds what is sent to the tasks.
     """
@@ -215,10 +216,15 @@ class Index:
 
     def __init__(self, passages: list[Passage], idf, space: Space, search: Search):
         self.search, self.idf, self.passages = search, idf.astype(np.float32), passages
-        vectors = []
+        vectors, self.sparse = [], []
         for passage in passages:
-            low = space.fold(*weigh(passage.words, idf))
-            vectors.append(low / max(1e-9, np.linalg.norm(low)))
+            at, weights = weigh(passage.words, idf)
+            self.sparse.append((at, weights))
+            vectors.append(space.fold(at, weights))
+        norms = np.array([np.linalg.norm(idf[at] * np.bincount(
+            np.searchsorted(at, [bucket(w) for w in p.words]), minlength=len(at)))
+            for p, (at, _) in zip(passages, self.sparse, strict=True)])
+        self.norms = norms
         self.place = np.zeros(BUCKETS, np.int32)
         self.place[space.buckets] = np.arange(1, len(space.buckets) + 1)
         self.space = np.vstack([np.zeros((1, space.rows.shape[1]), np.float32), space.rows])
@@ -229,47 +235,79 @@ class Index:
             own = np.flatnonzero((sizes > before) & (sizes <= length * 3 // 4))
             before = length * 3 // 4
             if len(own):
-                self.groups.append((length, own, np.array([vectors[i] for i in own], np.float32)))
+                most = np.zeros(BUCKETS, np.float32)  # that one word can add to any passage's product
+                for at, weights in (self.sparse[i] for i in own):
+                    most[at] = np.maximum(most[at], weights * idf[at])
+                self.groups.append((length, own, np.array([vectors[i] for i in own], np.float32),
+                                    norms[own].astype(np.float32), most))
 
     def candidates(self, at: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """Passage, first word, window length and cosine of each window that comes near one.
 
         Windows begin at every quarter of their length, so sums over short steps give all of them.
-        Each word is weighed as if it were the only one of its kind: that makes the window's vector
-        shorter than it is, so nothing is missed, and the few that pass are measured exactly.
+        No window is left out too early: a product is at most the sum of what each word can add to
+        any passage's, and a window at least as long as if no word came twice. Those that pass are
+        folded, and measured exactly by their counted words.
         """
-        lengths = [length for length, _, _ in self.groups]
+        lengths = [length for length, *_ in self.groups]
         step, most = min(lengths, default=4) // 4, max(lengths, default=4)
         least = self.search.cosine
         for base in range(0, len(at), WORDS_AT_ONCE):
             own = at[base:base + WORDS_AT_ONCE + most]
             own = np.concatenate((own, np.full(-len(own) % most + most, -1)))
             weight = np.where(own >= 0, self.idf[own], np.float32(0))
-            known = np.where(own >= 0, self.place[own], 0)
-            square = (weight ** 2).reshape(-1, step)
-            inside = np.where(known.reshape(-1, step) > 0, square, 0).sum(axis=1)
-            square = square.sum(axis=1)
-            rows = self.space.take(known, axis=0).reshape(len(known) // step, step, -1)
-            rows = (weight.astype(np.float32).reshape(-1, 1, step) @ rows)[:, 0]
-            for length, chosen, vectors in self.groups:
-                def sums(x, many=length // 4 // step):
-                    x = x.reshape(-1, many, *x.shape[1:]).sum(axis=1) if many > 1 else x
-                    return x[:-3] + x[1:-2] + x[2:-1] + x[3:]
-                total = sums(square)
+            square = weight ** 2
+            chosen = []
+            needed = np.zeros(len(own) // step, bool)
+            for length, _, _, norms, adds in self.groups:
+                total, bound = (
+                    x[:-3] + x[1:-2] + x[2:-1] + x[3:] for x in (
+                        y.reshape(-1, length // 4).sum(axis=1)
+                        for y in (square, np.where(own >= 0, adds[own], np.float32(0)))))
                 starts = np.arange(len(total)) * (length // 4)
-                near = np.flatnonzero((sums(inside) >= least ** 2 * total) & (total > 0)
+                small = np.minimum(norms.min(), np.sqrt(total))
+                near = np.flatnonzero((bound >= 0.999 * least * small) & (total > 0)
                                       & (starts < WORDS_AT_ONCE))
+                chosen.append((near, total[near]))
+                for i in range(0, length // step):
+                    needed[near * (length // 4 // step) + i] = True
+            if not needed.any():
+                continue
+            places = np.where(own >= 0, self.place[own], 0).reshape(-1, step)[needed]
+            rows = np.zeros((len(needed), self.space.shape[1]), np.float32)
+            rows[needed] = (weight.reshape(-1, 1, step)[needed]
+                            @ self.space.take(places, axis=0))[:, 0]
+            for (length, passages, vectors, norms, _), (near, total) in zip(
+                    self.groups, chosen, strict=True):
                 if not len(near):
                     continue
-                cosines = (sums(rows)[near] @ vectors.T) / np.sqrt(total[near])[:, None]
-                for i in np.flatnonzero((cosines >= least).any(axis=1)):
-                    start = base + int(starts[near[i]])
-                    buckets, counts = np.unique(at[start:start + length], return_counts=True)
-                    weights = counts * self.idf[buckets]
-                    exact = vectors @ (weights @ self.space[self.place[buckets]])
-                    exact /= max(1e-9, np.linalg.norm(weights))
-                    for j in np.flatnonzero(exact >= least):
-                        yield int(chosen[j]), start, length, float(exact[j])
+                many = length // 4 // step
+                quarters = rows.reshape(-1, many, rows.shape[1]).sum(axis=1)
+                products = (quarters[near] + quarters[near + 1] + quarters[near + 2]
+                            + quarters[near + 3]) @ vectors.T
+                enough = products >= (least * 0.999) * np.minimum(
+                    norms, np.sqrt(total)[:, None])
+                for i in np.flatnonzero(enough.any(axis=1)):
+                    start = base + int(near[i]) * (length // 4)
+                    window = Window(at[start:start + length], self.idf)
+                    for j in passages[enough[i]]:
+                        product = window.product(*self.sparse[j])
+                        if product >= least * min(self.norms[j], window.norm):
+                            yield int(j), start, length, product / window.norm
+
+
+class Window:
+    """The counted and weighed words of a window."""
+
+    def __init__(self, at: np.ndarray, idf: np.ndarray):
+        self.buckets, counts = np.unique(at, return_counts=True)
+        self.weights = counts * idf[self.buckets].astype(np.float64)
+        self.norm = max(1e-9, float(np.linalg.norm(self.weights)))
+
+    def product(self, at: np.ndarray, weights: np.ndarray) -> float:
+        """With a vector of these sorted buckets and weights."""
+        place = np.minimum(np.searchsorted(self.buckets, at), len(self.buckets) - 1)
+        return float(np.where(self.buckets[place] == at, self.weights[place], 0) @ weights)
 
 
 def matches(indexes: list[Index], texts: list[bytes], at: np.ndarray, ends: np.ndarray,

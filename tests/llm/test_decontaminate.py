@@ -111,3 +111,18 @@ def test_large_benchmark_loses_no_copy(spark):
         spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)],
                               "item_id long, text string"))
     assert want <= {(r["doc_id"], r["item_id"]) for r in got.collect()}
+
+
+def test_copies_among_rare_words(spark):
+    rng = random.Random(8)
+    items = [[f"common{rng.randrange(60)}" for _ in range(n)] for n in (3, 4, 16, 31, 61)]
+    docs = [(1000 + k, " ".join(f"common{rng.randrange(60)}" for _ in range(80)))
+            for k in range(300)]
+    for i, item in enumerate(items):
+        rare = [f"rare{i}x{k}" for k in range(400)]
+        docs.append((i, " ".join(rare[:200] + item + rare[200:])))
+    got = d.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)],
+                              "item_id long, text string"))
+    assert {(i, i) for i in range(5)} <= {(r["doc_id"], r["item_id"]) for r in got.collect()}
