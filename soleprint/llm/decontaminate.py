@@ -241,10 +241,14 @@ class Index:
                 self.groups.append((length, own, np.array([vectors[i] for i in own], np.float32),
                                     norms[own].astype(np.float32), most))
 
-    def candidates(self, at: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """Passage, first word, window length and cosine of each window that comes near one.
+    def candidates(self, at: np.ndarray,
+                   ends: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """Passage, text, first word in it, window length and cosine of each window that comes near
+        a passage. ``ends`` is where each text begins and the last one ends.
 
         Windows begin at every quarter of their length, so sums over short steps give all of them.
+        Each text is filled up to a whole number of quarters of the longest window, and windows end
+        with their text, so that no other text has a part in them.
         No window is left out too early: a product is at most the sum of what each word can add to
         any passage's, and a window at least as long as if no word came twice. Those that pass are
         folded, and measured exactly by their counted words.
@@ -252,23 +256,34 @@ class Index:
         lengths = [length for length, *_ in self.groups]
         step, most = min(lengths, default=4) // 4, max(lengths, default=4)
         least = self.search.cosine
-        for base in range(0, len(at), WORDS_AT_ONCE):
-            own = at[base:base + WORDS_AT_ONCE + most]
-            own = np.concatenate((own, np.full(-len(own) % most + most, -1)))
+        sizes = np.diff(ends)
+        padded = -(-sizes // (most // 4)) * (most // 4)
+        begins = np.concatenate(([0], np.cumsum(padded)))
+        filled = np.full(begins[-1], -1)
+        filled[np.arange(len(at)) + np.repeat(begins[:-1] - ends[:-1], sizes)] = at
+        owners = np.repeat(np.arange(len(sizes)), padded // step)
+        for base in range(0, len(filled), WORDS_AT_ONCE):
+            own = filled[base:base + WORDS_AT_ONCE + most]
+            owner = owners[base // step:base // step + len(own) // step]
+            rest = -len(own) % most + most
+            own = np.concatenate((own, np.full(rest, -1)))
+            owner = np.concatenate((owner, np.full(rest // step, -1)))
             weight = np.where(own >= 0, self.idf[own], np.float32(0))
             square = weight ** 2
             chosen = []
             needed = np.zeros(len(own) // step, bool)
             for length, _, _, norms, adds in self.groups:
+                whose = owner[::length // 4 // step]
+                same = [whose[i:len(whose) - 3 + i] == whose[:-3] for i in range(4)]
                 total, bound = (
-                    x[:-3] + x[1:-2] + x[2:-1] + x[3:] for x in (
+                    sum(x[i:len(x) - 3 + i] * same[i] for i in range(4)) for x in (
                         y.reshape(-1, length // 4).sum(axis=1)
                         for y in (square, np.where(own >= 0, adds[own], np.float32(0)))))
                 starts = np.arange(len(total)) * (length // 4)
                 small = np.minimum(norms.min(), np.sqrt(total))
                 near = np.flatnonzero((bound >= 0.999 * least * small) & (total > 0)
                                       & (starts < WORDS_AT_ONCE))
-                chosen.append((near, total[near]))
+                chosen.append((near, total[near], [x[near, None] for x in same]))
                 for i in range(0, length // step):
                     needed[near * (length // 4 // step) + i] = True
             if not needed.any():
@@ -277,23 +292,24 @@ class Index:
             rows = np.zeros((len(needed), self.space.shape[1]), np.float32)
             rows[needed] = (weight.reshape(-1, 1, step)[needed]
                             @ self.space.take(places, axis=0))[:, 0]
-            for (length, passages, vectors, norms, _), (near, total) in zip(
+            for (length, passages, vectors, norms, _), (near, total, same) in zip(
                     self.groups, chosen, strict=True):
                 if not len(near):
                     continue
                 many = length // 4 // step
                 quarters = rows.reshape(-1, many, rows.shape[1]).sum(axis=1)
-                products = (quarters[near] + quarters[near + 1] + quarters[near + 2]
-                            + quarters[near + 3]) @ vectors.T
+                products = sum(quarters[near + i] * same[i] for i in range(4)) @ vectors.T
                 enough = products >= (least * 0.999) * np.minimum(
                     norms, np.sqrt(total)[:, None])
                 for i in np.flatnonzero(enough.any(axis=1)):
-                    start = base + int(near[i]) * (length // 4)
-                    window = Window(at[start:start + length], self.idf)
+                    k = int(owner[near[i] * many])
+                    start = base + int(near[i]) * (length // 4) - int(begins[k])
+                    window = Window(at[ends[k] + start:min(ends[k] + start + length, ends[k + 1])],
+                                    self.idf)
                     for j in passages[enough[i]]:
                         product = window.product(*self.sparse[j])
                         if product >= least * min(self.norms[j], window.norm):
-                            yield int(j), start, length, product / window.norm
+                            yield int(j), k, start, length, product / window.norm
 
 
 class Window:
@@ -314,28 +330,21 @@ def matches(indexes: list[Index], texts: list[bytes], at: np.ndarray, ends: np.n
             search: Search) -> list[dict]:
     """For each text and item found in it: the best share of the item's words in order, that
     window's cosine, and whether the answer is there.
-
-    Windows run over the texts one after the other; one that lies across a border is checked
-    against each of its texts by itself.
     """
     found: list[dict[object, tuple[float, float, bool]]] = [{} for _ in texts]
     words = lru_cache(maxsize=4)(lambda k: words_of(texts[k]))
     for index in indexes:
-        for i, start, length, cosine in index.candidates(at):
+        for i, k, start, length, cosine in index.candidates(at, ends):
             own = index.passages[i]
-            first = np.searchsorted(ends, start, "right") - 1
-            last = np.searchsorted(ends, min(start + length, len(at)), "left")
-            for k in range(first, last):
-                a = max(0, start - length // 4 - ends[k])
-                text = words(k)[a:max(0, start + length + length // 4 - ends[k])]
-                share = common_subsequence(own.words, text) / len(own.words)
-                if share < search.lcs_answer:
-                    continue
-                there = bool(own.answer) and (
-                    common_subsequence(own.answer, text) >= search.answer * len(own.answer))
-                if share >= search.lcs or there:
-                    best = (share, cosine, there)
-                    found[k][own.item] = max(found[k].get(own.item, best), best)
+            text = words(k)[max(0, start - length // 4):start + length + length // 4]
+            share = common_subsequence(own.words, text) / len(own.words)
+            if share < search.lcs_answer:
+                continue
+            there = bool(own.answer) and (
+                common_subsequence(own.answer, text) >= search.answer * len(own.answer))
+            if share >= search.lcs or there:
+                best = (share, cosine, there)
+                found[k][own.item] = max(found[k].get(own.item, best), best)
     return found
 
 

@@ -126,3 +126,23 @@ def test_copies_among_rare_words(spark):
         spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)],
                               "item_id long, text string"))
     assert {(i, i) for i in range(5)} <= {(r["doc_id"], r["item_id"]) for r in got.collect()}
+
+
+def test_neighbours_change_nothing(spark):
+    rng = random.Random(9)
+    items = [[f"common{rng.randrange(300)}" for _ in range(n)] for n in (5, 16, 31, 100)]
+    docs = []
+    for i, item in enumerate(items):
+        docs += [(10 * i, " ".join(item)),
+                 (10 * i + 1, " ".join(item + [f"end{i}x{k}" for k in range(30)])),
+                 (10 * i + 2, " ".join([f"start{i}x{k}" for k in range(30)] + item))]
+        docs += [(1000 + 10 * i + k, " ".join(f"rare{i}x{k}x{m}" for m in range(200)))
+                 for k in range(3)]
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)],
+                                      "item_id long, text string")
+    def found(rows, partitions):
+        made = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+        return {tuple(r) for r in d.find_leaks(made.coalesce(partitions), benchmark).collect()}
+    got = found(docs, 1)
+    assert {(r[0], r[2]) for r in got} == {(10 * i + k, i) for i in range(4) for k in range(3)}
+    assert found(docs[::-1], 1) == got and found(docs, 7) == got
