@@ -12,7 +12,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, partial
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +32,13 @@ MARKS = b".,;:!?\"'()[]{}<>|*#%&$-_"
 @dataclass(frozen=True)
 class Search:
     """``windows`` are lengths in words; a passage of n words is searched in the first window with
-    room for n and a third more, at steps of a quarter. Longer passages are cut into parts of
-    three quarters of the longest window. ``dims`` is the highest rank of a latent space and the
+    room for n and a third more, at steps of a quarter. Longer items are cut into equal parts
+    of at most three quarters of the longest window, each of them a passage. ``dims`` is the highest rank of a latent space and the
     number of passages that share one. ``cosine`` makes a candidate: it is the product of window
     and passage over the square of the passage's length, or over the product of both lengths if the
-    window's is smaller. So a copy reaches 1 whatever words stand around it. Of a candidate, ``lcs`` is the share of the passage that suffices alone, ``lcs_answer`` the one
-    that does if ``answer`` of the answer's words are there as well. ``block`` is the number of
+    window's is smaller. So a copy reaches 1 whatever words stand around it. Of a candidate, ``lcs`` is the share of the item, over all its parts, that suffices alone,
+    ``lcs_answer`` the one that does if ``answer`` of the answer's words are there as well, where
+    the item would be around a part of which ``lcs_answer`` was found. ``block`` is the number of
     passages looked for in one pass over the documents: it bounds what is sent to the tasks.
     """
 
@@ -96,22 +97,32 @@ def passage_frequencies(docs: DataFrame, length: int = 80) -> tuple[np.ndarray,
 
 
 def cut_passages(words: list[bytes], search: Search) -> list[list[bytes]]:
-    most = search.windows[-1] * 3 // 4
-    return [words[a:a + most] for a in range(0, max(1, len(words)), most)]
+    parts = max(1, -(-len(words) // (search.windows[-1] * 3 // 4)))
+    ends = [len(words) * i // parts for i in range(parts + 1)]
+    return [words[a:b] for a, b in pairwise(ends)]
 
 
 @dataclass(frozen=True)
 class Passage:
-    """A part of an item, and the words of the item's answer."""
+    """A part of an item, the words of the item's answer, how many words of the item come before
+    the part, all words of the item, and the item's number in its block."""
 
     item: object
     words: list[bytes]
     answer: list[bytes]
+    before: int
+    whole: list[bytes]
+    number: int
 
 
 def passages_of(items: list[tuple[object, bytes]], search: Search) -> list[Passage]:
-    return [Passage(item, part, answer_of(text)) for item, text in items
-            for part in cut_passages(words_of(text), search) if part]
+    made = []
+    for number, (item, text) in enumerate(items):
+        words, answer, before = words_of(text), answer_of(text), 0
+        for part in cut_passages(words, search) if words else []:
+            made.append(Passage(item, part, answer, before, words, number))
+            before += len(part)
+    return made
 
 
 def weigh(words: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -328,23 +339,41 @@ class Window:
 
 def matches(indexes: list[Index], texts: list[bytes], at: np.ndarray, ends: np.ndarray,
             search: Search) -> list[dict]:
-    """For each text and item found in it: the best share of the item's words in order, that
-    window's cosine, and whether the answer is there.
+    """For each text and item found in it: the share of the item's words that its parts, or
+    the whole around one of them, have in order, the cosine of the best part's window, and whether the answer is there.
     """
-    found: list[dict[object, tuple[float, float, bool]]] = [{} for _ in texts]
+    near: list[dict[tuple, dict[int, tuple[int, float]]]] = [{} for _ in texts]
+    answered, whole, lengths = set(), {}, {}
     words = lru_cache(maxsize=4)(lambda k: words_of(texts[k]))
     for index in indexes:
         for i, k, start, length, cosine in index.candidates(at, ends):
             own = index.passages[i]
-            text = words(k)[max(0, start - length // 4):start + length + length // 4]
-            share = common_subsequence(own.words, text) / len(own.words)
-            if share < search.lcs_answer:
+            a, b = start - length // 4, start + length + length // 4
+            common = common_subsequence(own.words, words(k)[max(0, a):b])
+            item = (own.item, own.number)
+            best = near[k].setdefault(item, {})
+            best[own.before] = max(best.get(own.before, (0, 0.0)), (common, cosine))
+            if common < search.lcs_answer * len(own.words):
+                continue
+            total = len(own.whole)
+            text = words(k)[max(0, a - own.before):b + total - own.before - len(own.words)]
+            if total > len(own.words):
+                whole[k, item] = max(whole.get((k, item), 0), common_subsequence(own.whole, text))
+            if own.answer and (k, item) not in answered and (
+                    common_subsequence(own.answer, text) >= search.answer * len(own.answer)):
+                answered.add((k, item))
+            lengths[item] = total
+    found: list[dict[object, tuple[float, float, bool]]] = [{} for _ in texts]
+    for k, items in enumerate(near):
+        for item, parts in items.items():
+            if item not in lengths:  # no part with the smaller share, so none over all parts
                 continue
-            there = bool(own.answer) and (
-                common_subsequence(own.answer, text) >= search.answer * len(own.answer))
-            if share >= search.lcs or there:
-                best = (share, cosine, there)
-                found[k][own.item] = max(found[k].get(own.item, best), best)
+            common = max(sum(c for c, _ in parts.values()), whole.get((k, item), 0))
+            share = common / lengths[item]
+            there = (k, item) in answered
+            if share >= search.lcs or there and share >= search.lcs_answer:
+                best = (share, max(parts.values())[1], there)
+                found[k][item[0]] = max(found[k].get(item[0], best), best)
     return found
 
 

@@ -146,3 +146,25 @@ def test_neighbours_change_nothing(spark):
     got = found(docs, 1)
     assert {(r[0], r[2]) for r in got} == {(10 * i + k, i) for i in range(4) for k in range(3)}
     assert found(docs[::-1], 1) == got and found(docs, 7) == got
+
+
+def test_long_items_are_judged_as_a_whole(spark):
+    rng = random.Random(10)
+    sizes = {i: n for i, n in enumerate((121, 122, 241))}
+    items = {i: [f"w{i}x{k}" for k in range(n)] for i, n in sizes.items()}
+    items[3] = [f"q{k}" for k in range(200)] + ["so?", "answer", "is", "forty", "two"]
+    def other(n):
+        return [f"plain{rng.randrange(500)}" for _ in range(n)]
+    docs = [(100 + k, " ".join(other(100))) for k in range(100)]
+    for i, n in sizes.items():
+        docs += [(i, " ".join(other(30) + items[i] + other(30))),
+                 (10 + i, " ".join(other(40) + items[i][-1:] + other(40))),
+                 (20 + i, " ".join(other(40) + items[i][:n // 3] + other(40)))]
+    docs += [(3, " ".join(other(30) + items[3][:130] + other(60) + items[3][-5:] + other(30))),
+             (13, " ".join(other(30) + items[3][:130] + other(60)))]
+    got = d.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()],
+                              "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["answer"] for r in got} == {
+        (0, 0): True, (1, 1): True, (2, 2): True, (3, 3): True}
