@@ -131,7 +131,9 @@ def train(docs: DataFrame, labels: DataFrame, options: Training = Training()) ->
         "place", "doc_id").limit(options.sample)
     texts = docs.select(F.col("doc_id"), F.col("text").cast("binary").alias("text")).where(
         "text IS NOT NULL")
-    sample = texts.join(chosen, "doc_id").select("place", "label", "text")
+    # One row of each id, that with the smallest hash: the sample's bound holds for rows.
+    sample = texts.join(chosen, "doc_id").groupBy("place", "doc_id", "label").agg(
+        F.min(F.struct(F.xxhash64("text"), F.col("text")))["text"].alias("text")).drop("doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

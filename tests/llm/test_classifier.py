@@ -53,3 +53,14 @@ def test_edges(spark):
     assert got.count() == 6 and got.where("score BETWEEN 0 AND 1").count() == 6
     assert classifier.score(docs.limit(0), model).count() == 0
     assert classifier.train(docs.limit(0), labels).bias == 0
+
+
+def test_repeated_rows_of_an_id_are_one_training_row(spark):
+    texts = [(i, ("good clear words " if i % 2 else "bad noisy marks ") * (1 + i % 5))
+             for i in range(20)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, label int")
+    def model(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        return classifier.train(docs, labels, classifier.Training(sample=10))
+    once, often = model(texts), model(texts + [t for t in texts for _ in range(30)])
+    assert np.array_equal(once.values, often.values) and once.bias == often.bias
