@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soleprint.llm import classifier, decontaminate, ngram, quality, simhash, suffix, url_filter
+from soleprint.llm import (
+    classifier, decontaminate, lexical, negatives, ngram, phrases, quality, simhash, suffix,
+    url_filter,
+)
 from soleprint.llm.lengths import context_limits, length_histogram, token_lengths
 from soleprint.llm.mixing import mix_copies
 from soleprint.llm.oracles import ORACLES  # noqa: F401
@@ -105,3 +108,27 @@ def op3_interpolated_lm(spark, sf_dir):
     scored = ngram.score_texts(table(spark, sf_dir, "documents"), ~held_out)
     return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known",
                          "train_tokens", "base_score", "score")
+
+
+@register
+def op11_bond_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@register
+def op12_shared_ranking(spark, sf_dir):
+    return lexical.rank_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op13_phrase_automata(spark, sf_dir):
+    shape = phrases.Shape()
+    texts, rows = phrases.remove_phrases(table(spark, sf_dir, "documents"), shape)
+    digests = texts.withColumn("kept", F.sha2("kept", 256))
+    cut = phrases.for_rows(digests, rows, shape, "kept", F.sha2(F.lit(""), 256))
+    return cut.select("doc_id", "n_words", "n_removed",
+                      (F.col("n_words") - F.col("n_removed")).alias("n_kept"),
+                      F.col("kept").alias("kept_sha256"))

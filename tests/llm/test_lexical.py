@@ -1,0 +1,95 @@
+"""Ranked documents against brute force, and the graph of shared sums."""
+
+import math
+import random
+import re
+from collections import Counter
+from itertools import combinations
+
+import pyarrow as pa
+import pytest
+
+from soleprint.llm import lexical
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def plain(docs, items, top):
+    own = [(d, Counter(terms(t))) for d, t in docs if terms(t)]
+    total = sum(sum(c.values()) for _, c in own)
+    df = Counter(t for _, c in own for t in c)
+    merged = {}
+    for i, t in items:
+        merged.setdefault(i, set()).update(terms(t))
+    out = []
+    for i, wanted in merged.items():
+        scored = []
+        for d, c in own:
+            m = 50 + 50 * sum(c.values()) * len(own) // total
+            score = sum(
+                math.floor(1000 * math.log((2 * len(own) + 2) / (2 * df[t] + 1)))
+                * (1_000_000_000 * c[t] // (1000 * c[t] + 20 * m)) for t in wanted if c[t])
+            if score > 0:
+                scored.append((-score, d is None, d or 0))
+        out += [(i, k, None if none else d, -s)
+                for k, (s, none, d) in enumerate(sorted(scored)[:top], 1)]
+    return sorted(out, key=str)
+
+
+def rows_of(spark, docs, items, top):
+    docs = spark.createDataFrame([(*r, 0, "x") for r in docs],
+                                 "doc_id long, text string, rank int, item_id string")
+    items = spark.createDataFrame([(*r, 1) for r in items], "item_id int, text string, score int")
+    return sorted((tuple(r) for r in lexical.rank_documents(docs, items, top).collect()), key=str)
+
+
+@pytest.mark.parametrize("chunk, block", [(2000, 1 << 20), (7, 100)])
+def test_made_up_texts(spark, monkeypatch, chunk, block):
+    monkeypatch.setattr(lexical, "CHUNK", chunk)
+    monkeypatch.setattr(lexical, "BLOCK_BYTES", block)
+    rng = random.Random(5)
+    words = ["the", "of", "The", "é", "É", "naïve", "x1", "你好", "b_c", "rare", "q"]
+    def text(n):
+        return rng.choice([" ", ", ", "\n"]).join(rng.choices(words, range(12, 1, -1), k=n))
+    docs = [(i, text(rng.randrange(1, 30))) for i in range(120)]
+    docs += [(i, "same text, THE same") for i in range(500, 560)]  # ties
+    docs += [(3, docs[3][1]), (3, "of x1"), (None, "rare of"), (None, None), (900, None), (901, ""),
+             (902, " .,-_"), (903, "rare " * 50_000)]
+    items = [(i, text(rng.randrange(1, 12))) for i in range(15)]
+    items += [(20, "same"), (21, "same text"), (22, "same text rare"), (23, None), (24, ""),
+              (25, "unseen"), (20, "same"), (26, "of"), (26, "rare"), (None, "q rare")]
+    assert rows_of(spark, docs, items, 10) == plain(docs, items, 10)
+
+
+def test_empty(spark):
+    assert rows_of(spark, [(1, "a")], [(1, None)], 5) == []
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a")], "item_id int, text string")
+    assert lexical.rank_documents(docs.limit(0), items).count() == 0
+    assert lexical.rank_documents(docs, items.limit(0)).count() == 0
+
+
+def test_graph_sums_each_item_with_fewer_additions():
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choices(words, range(40, 0, -1), k=25)) for _ in range(60)]
+    graph = lexical.share(pa.array(range(60)), texts)
+
+    def leaves(node):
+        if node < graph.addends:
+            return [node]
+        return [leaf for part in graph.pairs[node - graph.addends] for leaf in leaves(part)]
+
+    for text, nodes in zip(texts, graph.items, strict=True):
+        assert sorted(x for n in nodes for x in leaves(n)) == sorted(
+            {graph.vocabulary[t] for t in lexical.terms(text)})
+    apart = sum(len(set(lexical.terms(t))) - 1 for t in texts)
+    made = len(graph.pairs) + sum(len(n) - 1 for n in graph.items)
+    assert made < 0.6 * apart
+    # No two items share a pair of addends any more.
+    pairs = Counter(p for n in graph.items for p in combinations(n, 2))
+    assert max(pairs.values(), default=0) < 2

@@ -1,0 +1,81 @@
+"""Mined negatives against brute force."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from soleprint.llm import negatives
+
+COLUMNS = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+
+
+def plain(rows, mining):
+    """All results by comparing each anchor with all rows."""
+    best = {}
+    for i, label, v in rows:
+        if None in (i, label, v) or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        row = (str(label), [math.floor(x * mining.scale) for x in v])
+        best[i] = min(best.get(i, row), row)
+    out = []
+    for a, (label, q) in best.items():
+        if a % 100:
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(q, v, strict=False)), i, own == label)
+            for i, (own, v) in best.items() if i != a)
+        for p, i, same in [s for s in scored if s[2]][:mining.positives]:
+            found = [(n, j) for n, j, own in scored
+                     if not own and mining.low * -p <= 100 * -n <= mining.high * -p]
+            out += [(a, i, k, j, -p, -n) for k, (n, j) in enumerate(found[:mining.negatives], 1)]
+    return sorted(out)
+
+
+def mined(spark, rows, mining):
+    frame = spark.createDataFrame(
+        [(*r, 7, 0) for r in rows],
+        "vec_id long, label int, embedding array<float>, block int, score int")
+    got = negatives.mine_negatives(frame, F.col("vec_id") % 100 == 0, mining)
+    assert got.columns == COLUMNS
+    return sorted(tuple(r) for r in got.collect())
+
+
+@pytest.mark.parametrize("mining", [
+    negatives.Mining(),
+    negatives.Mining(block=40, pack=2, step=3),
+    negatives.Mining(positives=2, negatives=3, block=100, step=1),
+])
+def test_made_up_vectors(spark, mining):
+    rng = random.Random(11)
+    def vector(n=12):
+        return [rng.uniform(-1, 1) for _ in range(n)]
+    common = vector()
+    rows = [(i, rng.randrange(3), vector()) for i in range(0, 500, 3)]
+    rows += [(i, rng.randrange(3), common) for i in range(1000, 1090)]  # ties everywhere
+    rows += [(i * 100, 0, [0.0] * 12) for i in (21, 22)] + [(2300, 2, [-x for x in common])]
+    rows += [(2401, 9, vector(5)), (2402, 1, []), (2500, 5, vector())]  # short, empty, no positives
+    rows += [(2601, None, vector()), (None, 1, vector()), (2602, 1, None), (2603, 1, [None] * 12),
+             (2604, 1, [math.nan] * 12), (2605, 1, [math.inf] + [0.0] * 11)]
+    rows += rows[:20] + [(3, 2, vector()), (300, 1, vector())]  # repeats, several rows of one id
+    got = mined(spark, rows, mining)
+    single = [(i, c, v and [x if x is None else float(np.float32(x)) for x in v])
+              for i, c, v in rows]
+    assert got == plain(single, mining)
+    assert len(got) > 30
+
+
+def test_large_components_are_exact_or_refused(spark):
+    mining = negatives.Mining(scale=1)
+    rows = [(0, 1, [2.0 ** 29, 1.0]), (1, 1, [2.0 ** 29, 3.0]), (2, 2, [2.0 ** 28, 5.0]),
+            (3, 2, [2.0 ** 28, 4.0]), (4, 2, [2.0 ** 20, 4.0])]
+    assert mined(spark, rows, mining) == plain(rows, mining) != []
+    with pytest.raises(Exception, match="may not fit"):
+        mined(spark, [(0, 1, [2.0 ** 40]), (1, 1, [2.0 ** 40])], mining)
+
+
+def test_empty(spark):
+    assert mined(spark, [(1, 1, None)], negatives.Mining()) == []
+    assert mined(spark, [(0, 1, [1.0])], negatives.Mining()) == []

@@ -1,0 +1,74 @@
+"""Removed phrases against brute force."""
+
+import random
+
+import pytest
+
+from soleprint.llm import phrases
+
+
+def plain(rows, length):
+    """Number of words, and the words that stay, of each row; equal rows count once."""
+    split = sorted({(d, t or "") for d, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
+    seen, left = set(), {}
+    for d, t in split:
+        words = t.encode().split()
+        gone = [False] * len(words)
+        for i in range(len(words) - length + 1):
+            window = tuple(words[i:i + length])
+            if window in seen:
+                gone[i:i + length] = [True] * length
+            seen.add(window)
+        left[d, t] = (len(words), b" ".join(
+            w for w, g in zip(words, gone, strict=True) if not g))
+    return [left[d, t or ""] for d, t in rows]
+
+
+def cut(spark, rows, shape):
+    docs = spark.createDataFrame([(*r, 0, "b") for r in rows],
+                                 "doc_id long, text string, n_words int, base string")
+    texts, own = phrases.remove_phrases(docs.repartition(5), shape)
+    empty = phrases.F.lit(b"")
+    got = phrases.for_rows(texts, own, shape, "kept", empty).collect()
+    for r in got:
+        assert r["n_removed"] == r["n_words"] - len(bytes(r["kept"]).split())
+    return sorted((str(r["doc_id"]), r["n_words"], bytes(r["kept"])) for r in got)
+
+
+@pytest.mark.parametrize("shape", [phrases.Shape(), phrases.Shape(20, 3), phrases.Shape(4, 2),
+                                   phrases.Shape(3, 8), phrases.Shape(1, 1)])
+def test_made_up_texts(spark, monkeypatch, shape):
+    monkeypatch.setattr(phrases, "AUTOMATON_WORDS", 100)
+    rng = random.Random(shape.length)
+    def noise(n, kinds=400):
+        return [f"w{rng.randrange(kinds)}" for _ in range(n)]
+    n = shape.length
+    shared = [noise(k) for k in (max(1, n - 1), n, n + 1, 3 * n, 9 * n)]
+    rows = []
+    for i in range(60):
+        parts = noise(rng.randrange(40)) + rng.choice(shared) + noise(rng.randrange(40))
+        rows.append((i, rng.choice([" ", "\n", " \t "]).join(parts)))
+    whole = shared[4]
+    rows += [(200 - i, " ".join(whole)) for i in range(3)]  # copies, not in order of ids
+    rows += [(300, " ".join(whole[:2 * n] + ["X"] + whole[2 * n:])),
+             (301, " ".join(noise(300, 2))), (302, "a " * (4 * n)), (303, "a b " * (3 * n)),
+             (304, "a " * (4 * n) + "b"), (305, None), (306, ""), (307, " \n"), (308, "é " * n),
+             (None, " ".join(shared[3])), (60, rows[5][1]), (5, rows[5][1]),
+             (310, " ".join(noise(20_000, 20_000))), (311, " ".join(w.upper() for w in whole))]
+    want = [(str(d), *left) for (d, _), left in zip(rows, plain(rows, n), strict=True)]
+    assert cut(spark, rows, shape) == sorted(want)
+
+
+def test_one_id_with_several_texts(spark):
+    shape = phrases.Shape(4, 2)
+    rows = [(1, "a b c d e"), (1, "x a b c d"), (1, "a b c d e"), (2, "a b c d")]
+    got = cut(spark, rows, shape)
+    kept = sorted(k for _, _, k in got)
+    # One of the two texts comes first and keeps all; the repeated row is the same text.
+    assert kept in ([b"", b"a b c d e", b"a b c d e", b"x"], [b"", b"e", b"e", b"x a b c d"])
+
+
+def test_empty(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    texts, rows = phrases.remove_phrases(docs)
+    assert phrases.for_rows(texts, rows, phrases.Shape(), "kept", phrases.F.lit(b"")).count() == 0
