@@ -143,15 +143,16 @@ def _anchored(texts: DataFrame, shape: Shape) -> DataFrame:
             bases, rows = np.asarray(part.column("base")), [(np.zeros(0, np.int64),) * 4]
             for base, hashes in zip(bases, own, strict=True):
                 if len(hashes) >= shape.length:
-                    found = anchors(hashes, shape)
-                    rows.append((np.full(len(found[0]), base), *found))
+                    h, first, last = anchors(hashes, shape)
+                    rows.append((np.full(len(h), base), h, first, last - first + 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)],
-                ["base", "h", "first", "last"])
+                [pa.array(np.concatenate(c).astype(kind)) for c, kind in zip(
+                    zip(*rows, strict=True), (np.int64, np.int64, np.int32, np.int32),
+                    strict=True)], ["base", "h", "first", "n"])
 
     long_enough = texts.where(F.octet_length("bytes") >= 2 * shape.length - 1)
     return written(long_enough.select("base", "bytes").mapInArrow(
-        run, "base long, h long, first long, last long"), "anchors")
+        run, "base long, h long, first int, n int"), "anchors", "zstd")
 
 
 def _by_text(rows: DataFrame, numbers: DataFrame, key: str, name: str) -> DataFrame:
@@ -167,22 +168,22 @@ def _windows(texts: DataFrame, shape: Shape) -> DataFrame:
         for part, own in hashed(batches):
             lists = part.column("open")
             entries, ends = lists.flatten(), np.cumsum([0, *lists.value_lengths().to_pylist()])
-            h, first, last = (np.asarray(entries.field(c)) for c in ("h", "first", "last"))
+            h, first, sizes = (np.asarray(entries.field(c)) for c in ("h", "first", "n"))
             rows = []
             for i, (base, hashes) in enumerate(
                     zip(part.column("base").to_pylist(), own, strict=True)):
                 mine = slice(ends[i], ends[i + 1])
-                n = last[mine] - first[mine] + 1
+                n = sizes[mine]
                 starts = np.repeat(first[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 window = mixed(rolling(hashes, shape.length)).view(np.int64)
                 rows.append((np.repeat(h[mine], n), window[starts], np.full(len(starts), base),
-                             starts))
+                             starts.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)],
                 ["h", "w", "base", "start"])
 
     return written(texts.select("base", "bytes", "open").mapInArrow(
-        run, "h long, w long, base long, start long"), "windows")
+        run, "h long, w long, base long, start int"), "windows", "zstd")
 
 
 def _passages(repeats: DataFrame) -> DataFrame:
@@ -203,7 +204,7 @@ def _passages(repeats: DataFrame) -> DataFrame:
 
     # A run that ends with a batch or a task is two passages that overlap, which does no harm.
     return written(repeats.repartition("base").sortWithinPartitions("base", "start").mapInArrow(
-        run, "base long, start long, n long, lead long, lead_start long"), "passages")
+        run, "base long, start int, n long, lead long, lead_start int"), "passages", "zstd")
 
 
 def _words_of(texts: DataFrame, shape: Shape) -> DataFrame:
@@ -221,10 +222,10 @@ def _words_of(texts: DataFrame, shape: Shape) -> DataFrame:
                         strict=True) for p in wanted]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
-                        (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names)
+                        (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names)
 
     return texts.select("base", "bytes", "wanted").mapInArrow(
-        run, "lead long, lead_start long, n long, words binary")
+        run, "lead long, lead_start int, n long, words binary")
 
 
 class Automaton:
@@ -283,7 +284,8 @@ def repeated_phrases(texts: DataFrame, numbers: DataFrame, shape: Shape) -> Data
     first = written(windows.groupBy("h", "w").agg(
         F.count("*").alias("n"), F.min("base").alias("lead"),
         F.min(F.col("base") + F.col("start")).alias("place")).where("n > 1").select(
-        "h", "w", "lead", (F.col("place") - F.col("lead")).alias("lead_start")), "first")
+        "h", "w", "lead", (F.col("place") - F.col("lead")).cast("int").alias("lead_start")),
+        "first", "zstd")
     repeats = windows.join(first, ["h", "w"]).where(
         (F.col("base") != F.col("lead")) | (F.col("start") != F.col("lead_start")))
     passages = _passages(repeats.select("base", "start", "lead", "lead_start"))
