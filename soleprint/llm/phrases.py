@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from soleprint.llm.tables import shared_path, written
+from soleprint.llm.tables import shared_path, shuffles_dropped, written
 
 KEY = ["t1", "t2"]
 # Bytes of text that a task holds as words at a time, and words of passages in an automaton.
@@ -115,8 +115,9 @@ def different_texts(docs: DataFrame) -> DataFrame:
     texts = docs.groupBy(*KEY).agg(
         F.min(F.struct("doc_id")).alias("at"), F.first("bytes").alias("bytes"))
     name = f"texts_{uuid.uuid4().hex}"
-    texts.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *KEY).option(
-        "path", path).option("compression", "zstd").saveAsTable(name, format="parquet")
+    with shuffles_dropped(spark):
+        texts.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *KEY).option(
+            "path", path).option("compression", "zstd").saveAsTable(name, format="parquet")
     return spark.table(name)
 
 

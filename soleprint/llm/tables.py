@@ -1,9 +1,11 @@
 """Intermediate results that survive lost executors, and unions."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from soleprint.session import shared_dir
 
@@ -19,10 +21,27 @@ def shared_path(spark, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Whether Spark deletes a query's shuffle files once the query has ended.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """For writing a table: what was shuffled for it goes as soon as the table is there, as only the
+    table is read from then on. The session's own setting comes back afterwards."""
+    before = spark.conf.get(DROP_SHUFFLES)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+
+
 def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` computed once and kept as compressed Parquet in the shared checkpoint folder."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path, compression=compression)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
