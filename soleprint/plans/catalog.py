@@ -6,7 +6,7 @@ Times are given without zone, as the tables hold them.
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ from soleprint.schemas import CLICK
 from soleprint.session import shared_dir
 from soleprint.sources.records import violations
 from soleprint.streaming import jobs as streams
+from soleprint.streaming import stateful
 from soleprint.streaming.batchlog import BATCH_ID, read_log
 from soleprint.streaming.processors import ClickCounter, process_keyed
 
@@ -327,17 +328,133 @@ def raw_click_stream(spark, sf_dir):
     return spark.read.schema(good.schema).parquet(streams.log_path(root, "raw_clicks"))
 
 
+# Streams over topics that grow: written in slices, with a run of the query after each, which goes
+# on from its checkpoint
+
+SLICES = 4
+
+
+def _grow(topics, *starts) -> None:
+    """Write each topic's slices one by one; after each, run the queries that ``starts`` start.
+
+    ``topics`` has rows, the number of each row's slice, and a folder.
+    """
+    for number in range(SLICES):
+        for rows, cut, folder in topics:
+            rows.where(cut == number).write.parquet(f"{folder}/{number}")
+        for start in starts:
+            start().awaitTermination()
+
+
+def _topic(spark, rows, folder):
+    return spark.readStream.schema(rows.schema).parquet(f"{folder}/*")
+
+
+def _cut(rows: DataFrame, by: Column) -> Column:
+    """Slices of equal width in ``by``."""
+    low, high = rows.agg(F.min(by), F.max(by)).first()
+    return F.floor((by - F.lit(low)) * SLICES / F.lit(max(1, high - low + 1)))
+
+
+def _clicks_and_updates(spark, sf_dir, root):
+    """Both topics, cut at the same event ids: what :func:`_grow` takes, and the two streams."""
+    cut = _cut(views.events(spark, sf_dir), F.col("event_id"))
+    clicks, updates = views.clicks(spark, sf_dir), views.shoe_updates(spark, sf_dir)
+    topics = [(clicks, cut, f"{root}/clicks"), (updates, cut, f"{root}/updates")]
+    return topics, *(_topic(spark, rows, folder) for rows, _, folder in topics)
+
+
+def _enrich_by_state(spark, sf_dir, root, *more):
+    topics, clicks, updates = _clicks_and_updates(spark, sf_dir, root)
+    named = stateful.enrich_by_state(clicks, updates, slots=4)
+    _grow(topics, lambda: stateful.start_keyed(named, root, "enriched"),
+          *(lambda: start(named.schema) for start in more))
+    return named.schema
+
+
 @register
-def click_counter_stateful(spark, sf_dir):
+def product_views_job_stream(spark, sf_dir):
+    root = _stream_root(spark)
+
+    def count(schema):
+        enriched = spark.readStream.schema(schema).parquet(streams.log_path(root, "enriched"))
+        return streams.start_product_views(enriched, root)
+
+    _enrich_by_state(spark, sf_dir, root, count)
+    return streams.current_views(spark, root, "product_views", "product_name")
+
+
+@register
+def enriched_clicks_state_stream(spark, sf_dir):
+    root = _stream_root(spark)
+    schema = _enrich_by_state(spark, sf_dir, root)
+    return spark.read.schema(schema).parquet(streams.log_path(root, "enriched"))
+
+
+@register
+def product_state_table(spark, sf_dir):
     root = _stream_root(spark)
+    _enrich_by_state(spark, sf_dir, root)
+    return stateful.product_table(spark, root, "enriched")
+
+
+@register
+def recent_updates_stream(spark, sf_dir):
+    root = _stream_root(spark)
+    topics, clicks, updates = _clicks_and_updates(spark, sf_dir, root)
+    joined = stateful.recent_updates(clicks, updates, "10 MINUTES", "1 minute")
+    _grow(topics, lambda: streams.start_reader(joined, root, "recent"))
+    return spark.read.schema(joined.schema).parquet(streams.log_path(root, "recent"))
+
+
+@register
+def shoe_changelog_stream(spark, sf_dir):
+    root = _stream_root(spark)
+    topics, _, updates = _clicks_and_updates(spark, sf_dir, root)
+    changes = stateful.table_changes(updates)
+    _grow(topics[1:], lambda: stateful.start_keyed(changes, root, "changes"))
+    return spark.read.schema(changes.schema).parquet(streams.log_path(root, "changes"))
+
+
+@register
+def stream_time_ticks_stream(spark, sf_dir):
+    """Clicks come in order of arrival, up to 1,008 seconds after their event time."""
+    root, clicks = _stream_root(spark), views.clicks(spark, sf_dir)
+    folder = f"{root}/clicks"
+    ticks = stateful.span_ticks(_topic(spark, clicks, folder), "1009 seconds")
+    _grow([(clicks, _cut(clicks, F.unix_micros("arrival")), folder)],
+          lambda: stateful.start_keyed(ticks, root, "ticks"))
+    return spark.read.schema(ticks.schema).parquet(streams.log_path(root, "ticks"))
+
+
+@register
+def live_windows_stream(spark, sf_dir):
+    root = _stream_root(spark)
+    topics, clicks, _ = _clicks_and_updates(spark, sf_dir, root)
+    changes = stateful.retained_windows(clicks)
+    _grow(topics[:1], lambda: streams.start_log(changes, root, "retained", "update"))
+    return stateful.retained_table(spark, root, "retained")
+
+
+def _count_by_state(spark, sf_dir, root):
     clicks = views.clicks(spark, sf_dir, stream=True).select("partition", "ts")
     counted = process_keyed(
         clicks, "partition", ClickCounter(), ClickCounter.SCHEMA, time_mode="processingTime")
     # One micro-batch: with processing-time timers a query always has a next one to run.
-    (
-        counted.writeStream.format("parquet").option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/_checkpoints/out")
-        .trigger(once=True).start().awaitTermination()
-    )
-    return spark.read.schema(counted.schema).parquet(f"{root}/out").select(
-        "partition", "key", "total")
+    stateful.start_keyed(counted, root, "out", once=True).awaitTermination()
+    return counted.schema
+
+
+@register
+def click_counter_stateful(spark, sf_dir):
+    root = _stream_root(spark)
+    schema = _count_by_state(spark, sf_dir, root)
+    return spark.read.schema(schema).parquet(streams.log_path(root, "out"))
+
+
+@register
+def counter_state_table(spark, sf_dir):
+    root = _stream_root(spark)
+    _count_by_state(spark, sf_dir, root)
+    return stateful.state_table(spark, root, "out", "total").select(
+        "key.partition", F.lit(counters.TOTAL_KEY).alias("key"), "value.total")

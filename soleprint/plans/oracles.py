@@ -159,9 +159,40 @@ _BODIES = {
           count(*) OVER (PARTITION BY "partition" ORDER BY ts, event_id) AS total
         FROM clicks""",
     "click_counter_stateful": """
-        SELECT "partition", 'TOTAL' AS key,
+        SELECT "partition", 'TOTAL' AS key, ts,
           count(*) OVER (PARTITION BY "partition" ORDER BY ts, event_id) AS total
         FROM clicks""",
+    "counter_state_table": """
+        SELECT "partition", 'TOTAL' AS key, count(*) AS total FROM clicks GROUP BY ALL""",
+    "product_views_job_stream": """
+        SELECT product_name, time_bucket(INTERVAL 10 MINUTE, ts) AS window_start,
+          time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE AS window_end,
+          count(*) AS views
+        FROM asof_enriched GROUP BY ALL""",
+    "enriched_clicks_state_stream": "SELECT * FROM asof_enriched",
+    "product_state_table": """
+        SELECT event_id, id, name, ts FROM shoe_updates
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, event_id DESC) = 1""",
+    "recent_updates_stream": """
+        SELECT c.*, u.event_id AS update_id, u.ts AS update_ts, u.name AS product_name
+        FROM clicks c JOIN shoe_updates u ON c.product_id = u.id
+          AND c.ts BETWEEN u.ts AND u.ts + INTERVAL 10 MINUTE""",
+    "shoe_changelog_stream": """
+        SELECT event_id, id, name, ts,
+          count(*) OVER (PARTITION BY id ORDER BY ts, event_id) AS version,
+          lag(name) OVER (PARTITION BY id ORDER BY ts, event_id) AS before
+        FROM shoe_updates""",
+    "stream_time_ticks_stream": """
+        SELECT * FROM (
+          SELECT "partition", time_bucket(INTERVAL 10 SECOND, ts) AS tick, count(*) AS rows,
+            max(ts) AS stream_time
+          FROM clicks GROUP BY "partition", time_bucket(INTERVAL 10 SECOND, ts))
+        WHERE tick + INTERVAL 10 SECOND
+          <= (SELECT date_trunc('milliseconds', max(ts)) FROM clicks) - INTERVAL 1009 SECOND""",
+    "live_windows_stream": """
+        SELECT * FROM hopping
+        WHERE window_start + INTERVAL 30 MINUTE
+          > (SELECT date_trunc('milliseconds', max(ts)) FROM clicks) - INTERVAL 1 MINUTE""",
     "encode_enriched": """
         SELECT hex(encode(product_id)) AS key,
           '0000000003' || hex(encode(CAST(to_json({

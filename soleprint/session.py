@@ -1,6 +1,8 @@
 """Session settings and the shared checkpoint folder."""
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +38,22 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """The state store that keyed processors need, for queries started here and no others."""
+    before = {name: spark.conf.get(name, None) for name in STATE_STORE_CONF}
+    for name, value in STATE_STORE_CONF.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and written intermediate tables.
 

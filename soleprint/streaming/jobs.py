@@ -16,6 +16,7 @@ from soleprint.operators.counters import TOTAL_KEY, running_total
 from soleprint.operators.joins import enrich
 from soleprint.operators.tables import latest_by_key
 from soleprint.operators.windows import HOPPING, TUMBLING, Windows, count_views
+from soleprint.session import state_store
 from soleprint.streaming.batchlog import (
     BATCH_ID,
     append_batch,
@@ -67,6 +68,12 @@ def start_console(rows: DataFrame, root: str, shown: int, **trigger: object) ->
     )
 
 
+def start_log(rows: DataFrame, root: str, name: str, mode: str, **trigger: object) -> StreamingQuery:
+    """Write each micro-batch's rows of a keyed processor to the batch log ``root``/``name``."""
+    with state_store(rows.sparkSession):
+        return _start(rows, root, name, log_writer(log_path(root, name)), mode, trigger)
+
+
 def start_shoe_table(
     shoes: DataFrame, root: str, order: Sequence[str], **trigger: object
 ) -> StreamingQuery:

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from soleprint.operators.counters import RESET_SECONDS, TICK_SECONDS, TOTAL_KEY
-from soleprint.session import STATE_STORE_CONF
 
 # Python workers get these classes with the query, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -26,12 +25,9 @@ def process_keyed(
     mode: str = "append", time_mode: str = "none",
 ) -> DataFrame:
     """Run a stateful processor per key. ``time_mode`` is ``none``, ``processingTime`` or
-    ``eventTime``; the last needs a watermark on ``rows``.
-
-    Sets the state store that such processors need for queries that the session starts from now on.
+    ``eventTime``; the last needs a watermark on ``rows``. Start the query within
+    ``session.state_store``, unless the session has such a store anyway, as ``build_session``'s has.
     """
-    for name, value in STATE_STORE_CONF.items():
-        rows.sparkSession.conf.set(name, value)
     return rows.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode=mode, timeMode=time_mode)
 
@@ -39,7 +35,8 @@ def process_keyed(
 class ClickCounter(StatefulProcessor):
     """Counts a key's rows, emits the count with each, and sets it to zero by a timer.
 
-    The first row of a key starts the timer. A reset emits nothing.
+    The rows of a micro-batch are numbered in order of their event time. The first row of a key
+    starts the timer. A reset emits nothing.
     """
 
     SCHEMA = "partition int, key string, total long, ts timestamp"
@@ -57,12 +54,10 @@ class ClickCounter(StatefulProcessor):
         else:
             total = 0
             self._start_timer(timerValues)
-        for batch in rows:
-            counts = total + np.arange(1, len(batch) + 1)
-            total += len(batch)
-            yield pd.DataFrame(
-                {"partition": key[0], "key": TOTAL_KEY, "total": counts, "ts": batch["ts"].values})
-        self.total.update((int(total),))
+        times = np.sort(np.concatenate([batch["ts"].to_numpy("datetime64[us]") for batch in rows]))
+        yield pd.DataFrame({"partition": key[0], "key": TOTAL_KEY,
+                            "total": total + np.arange(1, len(times) + 1), "ts": times})
+        self.total.update((int(total + len(times)),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.total.update((0,))
@@ -80,8 +75,8 @@ class ClickCounter(StatefulProcessor):
 class StreamClock(StatefulProcessor):
     """Emits one row whenever a key's event time enters a new 10-second span.
 
-    Rows must reach the processor in arrival order, as one task reading a log partition
-    delivers them.
+    Rows must reach the processor in arrival order; behind a shuffle they may not, so use
+    ``stateful.span_ticks``, whose timers do not depend on it, where several tasks feed a key.
     """
 
     SCHEMA = "partition int, tick timestamp, stream_time timestamp"
