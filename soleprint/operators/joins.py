@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soleprint.operators.scan import SLICE_ROWS, Running, prefix_scan
+from soleprint.session import shared_dir
 
 # Rows of one key that may meet in one task of a shuffled join.
 HOT_KEY_ROWS = 1_000_000
+# Hot keys are looked for by a summary of so many keys, and so many of them are listed at most.
+TRACKED_KEYS, LISTED_KEYS = 100_000, 1_000
 
 _SPLITS, _SALT = "_splits", "_salt"
 
@@ -33,9 +36,10 @@ def lookup_join(
     """Inner join of rows with a table that has one row per key; null keys never match.
 
     A small table is broadcast by Catalyst. A larger one is joined by shuffle, and the keys
-    that hold more than ``hot_key_rows`` rows are spread: their rows over several salts, by a
-    hash of the columns ``salt_by`` (all, if not given), and their one table row copied to each. A stream has no counts to go by and takes the plain
-    join; ``foreachBatch`` gives it this form per micro-batch.
+    that hold more than ``hot_key_rows`` rows (see ``hot_keys``) are spread: their rows over several
+    salts, by a hash of the columns ``salt_by`` (all, if not given), and their one table row copied
+    to each. A stream has no counts to go by and takes the plain join; ``foreachBatch`` gives it
+    this form per micro-batch.
     """
     rows = rows.where(F.col(key).isNotNull())
     if salted is None:
@@ -43,13 +47,7 @@ def lookup_join(
     if not salted:
         return rows.join(table, F.col(key) == F.col(table_key), "inner")
 
-    # At most (all rows / hot_key_rows) keys are hot. Their list grows with the rows, so Catalyst
-    # decides by its size how to join it.
-    hot = (
-        rows.groupBy(F.col(key).alias("_hot")).count()
-        .where(F.col("count") > hot_key_rows)
-        .select("_hot", F.ceil(F.col("count") / hot_key_rows).cast("int").alias(_SPLITS))
-    )
+    hot = F.broadcast(hot_keys(rows, key, hot_key_rows))
     splits = F.coalesce(F.col(_SPLITS), F.lit(1))
     spread = (
         rows.join(hot, F.col(key) == F.col("_hot"), "left")
@@ -66,6 +64,25 @@ def lookup_join(
     return spread.join(copies.hint("merge"), matched, "inner").drop(_SALT, "_table_salt")
 
 
+def hot_keys(rows: DataFrame, key: str, hot_key_rows: int) -> DataFrame:
+    """``_hot``: the keys with more than ``hot_key_rows`` rows, and ``_splits``: how many salts each
+    gets, at most one per shuffle partition.
+
+    A summary of frequent values finds them in one pass, without a row per key. It is of fixed size,
+    and so is the list, which can be broadcast whatever the rows are. A key that the summary misses,
+    having less than about four parts in ``TRACKED_KEYS`` of all rows, is joined without salts.
+    """
+    spark = rows.sparkSession
+    shared_dir(spark)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    top = F.expr(f"approx_top_k(`{key}`, {LISTED_KEYS}, {TRACKED_KEYS})")
+    return rows.select(top.alias("_top")).selectExpr("inline(_top)").where(
+        F.col("count") > hot_key_rows).select(
+        F.col("item").alias("_hot"),
+        F.least(F.ceil(F.col("count") / hot_key_rows), F.lit(tasks)).cast("int").alias(_SPLITS),
+    ).checkpoint()
+
+
 def enrich(
     clicks: DataFrame, shoes: DataFrame,
     hot_key_rows: int = HOT_KEY_ROWS, salted: bool | None = None,
@@ -121,5 +138,6 @@ def unmatched(
 
 
 __all__: Sequence[str] = [
-    "HOT_KEY_ROWS", "broadcastable", "enrich", "enrich_asof", "lookup_join", "unmatched",
+    "HOT_KEY_ROWS", "broadcastable", "enrich", "enrich_asof", "hot_keys", "lookup_join",
+    "unmatched",
 ]

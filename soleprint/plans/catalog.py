@@ -74,6 +74,25 @@ def decode_clicks(spark, sf_dir):
     return good
 
 
+@register
+def decode_shoes(spark, sf_dir):
+    good, _ = jobs.decode_shoes(views.shoe_records(views.shoes(spark, sf_dir)))
+    price = F.format_string("%.2f", F.col("sale_price").cast("double"))
+    return good.withColumn("sale_price", price)
+
+
+@register
+def decode_enriched(spark, sf_dir):
+    """What the sink writes is read again."""
+    enriched = enriched_clicks(spark, sf_dir)
+    records = sinks.enriched_records(
+        enriched.withColumn("ts", F.col("ts").cast("timestamp")), views.ENRICHED_SCHEMA_ID)
+    records = records.withColumns({
+        "partition": F.lit(0), "offset": F.unix_micros("timestamp")})
+    good, _ = jobs.decode_enriched(records, strict=True)
+    return good.drop("partition")
+
+
 @register
 def bad_record_quarantine(spark, sf_dir):
     _, bad = jobs.decode_clicks(views.damaged_records(views.events(spark, sf_dir)))

@@ -18,7 +18,7 @@ from soleprint.operators.windows import (
     count_views_by_name,
     live_windows,
 )
-from soleprint.schemas import CLICK, SHOE
+from soleprint.schemas import CLICK, ENRICHED_CLICK, SHOE
 from soleprint.sources.records import decode_records, good_records, quarantined
 
 
@@ -46,6 +46,12 @@ def decode_shoes(records: DataFrame, strict: bool = False) -> tuple[DataFrame, D
     return good_records(decoded), quarantined(decoded)
 
 
+def decode_enriched(records: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Enriched click records as (typed rows, quarantined records)."""
+    decoded = decode_records(records, ENRICHED_CLICK, strict)
+    return good_records(decoded), quarantined(decoded)
+
+
 def product_views(
     clicks: DataFrame, shoe_log: DataFrame, shoe_order: Sequence[str] = ("ts", "offset")
 ) -> ProductViews:

@@ -74,6 +74,16 @@ _BODIES = {
         SELECT product_id AS record_key, "partition", event_id AS "offset", product_id, user_id,
           view_time, page_url, CASE WHEN event_type = 'click' THEN ip END AS ip, payload_ts, ts
         FROM click_form WHERE event_type IN ('click', 'view')""",
+    "decode_shoes": """
+        SELECT id AS record_key, CAST(CAST(id AS BIGINT) % 6 AS INT) AS "partition",
+          CAST(id AS BIGINT) AS "offset", id, sale_price,
+          CASE WHEN id NOT LIKE '%0' THEN brand END AS brand, name, rating,
+          make_timestamp(1704067200000000 + CAST(id AS BIGINT) * 1000000) AS ts
+        FROM shoes WHERE id NOT LIKE '%5'""",
+    "decode_enriched": """
+        SELECT product_id AS record_key, product_id, user_id, view_time, page_url, ip,
+          payload_ts, product_name, ts, epoch_us(ts) AS "offset"
+        FROM enriched""",
     "bad_record_quarantine": """
         SELECT "partition", "offset", "timestamp", reason FROM damaged
         WHERE reason IS NOT NULL""",

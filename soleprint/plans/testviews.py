@@ -18,6 +18,7 @@ PARTITIONS = 6
 # Column order of a click's own fields, and the schema ids its records are written under.
 CLICK_FIELDS = ("product_id", "user_id", "view_time", "page_url", "ip")
 CLICK_SCHEMA_ID = 1
+SHOE_SCHEMA_ID = 2
 ENRICHED_SCHEMA_ID = 3
 
 
@@ -96,6 +97,27 @@ def click_records(clicks: DataFrame) -> DataFrame:
     )
 
 
+def shoe_records(shoes: DataFrame) -> DataFrame:
+    """The catalogue as log records, published once a second; every fifth is damaged.
+
+    Of those, ids that end in 0 lack the brand, which is allowed; ids that end in 5 have a text for
+    a rating.
+    """
+    def text(brand="brand,", rating="rating"):
+        return f"to_json(struct(id, sale_price, {brand} name, {rating}))"
+
+    value = f"""CASE CAST(id AS LONG) % 10
+        WHEN 0 THEN {text(brand='')}
+        WHEN 5 THEN {text(rating="'good' AS rating")}
+        ELSE {text()} END"""
+    prefix = "00" + format(SHOE_SCHEMA_ID, "08X")
+    return shoes.selectExpr(
+        "CAST(id AS BINARY) AS key", f"concat(X'{prefix}', CAST({value} AS BINARY)) AS value",
+        f"CAST(CAST(id AS LONG) % {PARTITIONS} AS INT) AS partition", "CAST(id AS LONG) AS offset",
+        f"timestamp_micros({EPOCH_MICROS} + CAST(id AS LONG) * 1000000) AS timestamp",
+    )
+
+
 def damaged_records(events: DataFrame) -> DataFrame:
     """Every event as a click record, damaged by kind of event.
 

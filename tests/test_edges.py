@@ -1,6 +1,7 @@
 """Hand-made rows at the edges of each rule."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,3 +219,25 @@ def test_jobs_from_records(spark):
     assert sum(row.views for row in retained.views.collect()) == 30
     key = bytes(sinks.retained_records(retained.views).first().key)
     assert key[:1] == b"1" and len(key) == 9
+
+
+def test_hot_keys_are_salted_without_a_shuffle_by_key(spark):
+    """The list of hot keys is bounded and broadcast, so no exchange is by the hot key alone."""
+    clicks = spark.createDataFrame(
+        [("hot" if i % 3 == 0 else f"p{i}", i) for i in range(3000)], "product_id string, n int")
+    shoes = spark.createDataFrame(
+        [("hot", "h")] + [(f"p{i}", f"n{i}") for i in range(0, 3000, 2)], "id string, name string")
+    hot = joins.hot_keys(clicks, "product_id", 100).collect()
+    assert [(r["_hot"], r["_splits"]) for r in hot] == [("hot", 4)]  # as many as partitions
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        joined = joins.enrich(clicks, shoes, hot_key_rows=100, salted=True)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    exchanges = re.findall(r"hashpartitioning\(([^)]*), \d+\)", plan)
+    assert exchanges and all("_salt" in e or "_table_salt" in e for e in exchanges), exchanges
+    plain = clicks.join(shoes, clicks.product_id == shoes.id).select("product_id", "n", "name")
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, plain.collect()))

@@ -2,11 +2,14 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from soleprint.operators import scan
 from soleprint.operators.scan import Running, prefix_scan
+from soleprint.session import shared_dir
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 SCHEMA = "key string, ts timestamp, seq long, v long"
@@ -57,16 +60,35 @@ def test_scan_equals_loop(spark, keyed, slice_rows):
     assert got == brute_force(rows, keyed)
 
 
-def test_slices_hold_bounded_rows(spark):
-    """However the rows are skewed, no slice of the range form is far above the bound."""
-    from soleprint.operators.scan import _by_range
-    from soleprint.session import shared_dir
+@pytest.mark.parametrize("listed", [0, 10_000])
+def test_slices_hold_bounded_rows(spark, monkeypatch, listed):
+    """However the rows are skewed, no slice is above the bound, and slices are in order."""
     shared_dir(spark)
-    df = spark.createDataFrame(skewed_rows(6000, seed=1), SCHEMA)
-    sizes = [row["count"] for row in
-             _by_range(df, ["key"], ["ts", "seq"], 12).groupBy("_slice").count().collect()]
-    assert sum(sizes) == 6000
-    assert max(sizes) < 1500
+    monkeypatch.setattr(scan, "BROADCAST_ROWS", listed)
+    rows = skewed_rows(6000, seed=1)
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("_slice", F.lit(7).cast("long"))
+    cut, sizes = scan._cut_full(df, ["key"], ["ts", "seq"], [Running("v", "max")], 100)
+    found = cut.select("key", "_slice", "ts", "seq").collect()
+    assert len(found) == 6000
+    assert {(r["key"], r["_slice"]): r["_rows"] for r in sizes.collect()} == Counter(
+        (r["key"], r["_slice"]) for r in found)
+    assert max(r["_rows"] for r in sizes.collect()) <= 100
+    ordered = sorted(found, key=lambda r: (r["key"], r["ts"], r["seq"]))
+    assert all(a["_slice"] <= b["_slice"] for a, b in zip(ordered, ordered[1:], strict=False)
+               if a["key"] == b["key"])
+
+
+def test_rows_are_not_written_for_slicing(spark, monkeypatch):
+    """Only lists of keys, slices and quantiles are checkpointed."""
+    kind = type(spark.range(0))
+    written, keep = [], kind.checkpoint
+    def checkpoint(df, *args):
+        written.append((df.count(), df.columns))
+        return keep(df, *args)
+    monkeypatch.setattr(kind, "checkpoint", checkpoint)
+    df = spark.createDataFrame(skewed_rows(6000, seed=2), SCHEMA)
+    prefix_scan(df, ["key"], ["ts", "seq"], [Running("n", "count")], slice_rows=300).count()
+    assert written and not any("seq" in columns for _, columns in written)
 
 
 @pytest.mark.parametrize("slice_rows", [2, 40, 10**6])
