@@ -139,17 +139,39 @@ def views_changelog(
 ) -> DataFrame:
     """One row per counted row: the new count of its key and window, nothing merged.
 
-    For hopping windows each row updates every window it lies in.
+    For hopping windows each row updates every window it lies in. A row is numbered once, within
+    its advance; what its windows held before that is a sum of whole advances, the same for all rows
+    of the advance. So rows are shuffled as they are, and copied to their windows afterwards.
     """
-    keyed = df.where(F.col(key).isNotNull() & F.col("ts").isNotNull())
-    pane = _align(F.unix_seconds("ts"), windows.advance)
-    starts = F.sequence(pane - (windows.size - windows.advance), pane, F.lit(windows.advance))
+    keyed = df.where(F.col(key).isNotNull() & F.col("ts").isNotNull()).select(
+        key, *order, _align(F.unix_seconds("ts"), windows.advance).alias("_pane"))
+    steps = windows.size // windows.advance
+    if steps > MAX_COLUMNS:
+        starts = F.sequence(F.col("_pane") - (windows.size - windows.advance), "_pane",
+                            F.lit(windows.advance))
+        placed = _with_bounds(
+            keyed.select(key, *order, F.explode(starts).alias("_start")), windows, "_start")
+        return prefix_scan(
+            placed, [key, "window_start", "window_end"], order, [Running("views", "count")],
+            slice_rows=slice_rows,
+        )
+    numbered = prefix_scan(
+        keyed, [key, "_pane"], order, [Running("_n", "count")], slice_rows=slice_rows)
+    back = F.sequence(F.lit(1), F.lit(steps - 1)) if steps > 1 else F.array().cast("array<int>")
+    later = keyed.groupBy(key, "_pane").agg(F.count(F.lit(1)).alias("_rows")).select(
+        key, "_pane", "_rows", F.explode(back).alias("_back"))
+    earlier = later.groupBy(
+        key, (F.col("_pane") + F.col("_back") * windows.advance).alias("_pane")).agg(F.array(*[
+            F.sum(F.when(F.col("_back") <= step, F.col("_rows")).otherwise(0))
+            for step in range(steps)]).alias("_before"))
+    none = F.array_repeat(F.lit(0).cast("long"), steps)
+    counted = numbered.join(earlier, [key, "_pane"], "left").select(
+        key, *order, "_pane", "_n", F.posexplode(F.coalesce("_before", none)).alias("_step", "_held"))
     placed = _with_bounds(
-        keyed.select(key, *order, F.explode(starts).alias("_start")), windows, "_start")
-    return prefix_scan(
-        placed, [key, "window_start", "window_end"], order, [Running("views", "count")],
-        slice_rows=slice_rows,
-    )
+        counted.withColumn("_start", F.col("_pane") - F.col("_step") * windows.advance),
+        windows, "_start")
+    return placed.select(key, *order, "window_start", "window_end",
+                         (F.col("_n") + F.col("_held")).alias("views"))
 
 
 def with_stream_time(

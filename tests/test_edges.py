@@ -1,6 +1,7 @@
 """Hand-made rows at the edges of each rule."""
 
 import datetime as dt
+import random
 import re
 
 import pytest
@@ -241,3 +242,24 @@ def test_hot_keys_are_salted_without_a_shuffle_by_key(spark):
     assert exchanges and all("_salt" in e or "_table_salt" in e for e in exchanges), exchanges
     plain = clicks.join(shoes, clicks.product_id == shoes.id).select("product_id", "n", "name")
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("spec", [windows.HOPPING, windows.TUMBLING, windows.Windows(600, 5, 60)])
+@pytest.mark.parametrize("slice_rows", [3, 10**6])
+def test_changelog_counts_each_window_row_by_row(spark, spec, slice_rows):
+    rng = random.Random(4)
+    start = at("00:00:00")
+    data = [(i, rng.choice("aab"), start + dt.timedelta(seconds=rng.randrange(0, 3000)))
+            for i in range(120)] + [(200, "a", start + dt.timedelta(hours=5)), (201, None, start)]
+    df = spark.createDataFrame(data, "event_id long, product_id string, ts timestamp")
+    got = windows.views_changelog(df, "product_id", spec, slice_rows=slice_rows).collect()
+    want, held = [], {}
+    for i, key, ts in sorted((r for r in data if r[1]), key=lambda r: (r[2], r[0])):
+        second = int(ts.timestamp())
+        first = second // spec.advance * spec.advance
+        for begin in range(first, second - spec.size, -spec.advance):
+            held[key, begin] = held.get((key, begin), 0) + 1
+            want.append((i, key, begin, held[key, begin]))
+    seconds = [(r["event_id"], r["product_id"], int(r["window_start"].replace(
+        tzinfo=dt.timezone.utc).timestamp()), r["views"]) for r in got]
+    assert sorted(seconds) == sorted(want)
