@@ -13,7 +13,7 @@ from soleprint.llm import (
 from soleprint.llm.lengths import context_limits, length_histogram, token_lengths
 from soleprint.llm.mixing import mix_copies
 from soleprint.llm.oracles import ORACLES  # noqa: F401
-from soleprint.llm.tables import shared_path
+from soleprint.llm.tables import shared_path, written
 from soleprint.llm.token_file import read_tokens, token_index, write_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +57,8 @@ def tokenizer_path() -> str:
 @register
 def op4_length_histogram(spark, sf_dir):
     lengths = token_lengths(table(spark, sf_dir, "documents"), tokenizer_path())
-    return context_limits(length_histogram(lengths))
+    # The suffix sums read the histogram twice; texts are encoded once.
+    return context_limits(written(length_histogram(lengths), "lengths"))
 
 
 @register
@@ -98,6 +99,7 @@ def op8_suffix_dedup(spark, sf_dir):
     cut = suffix.remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.col("n_bytes") - F.octet_length("kept")
     return cut.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"),
+                      F.octet_length("kept").cast("long").alias("n_kept"),
                       F.size("removed").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
 

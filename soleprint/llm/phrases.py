@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from soleprint.llm.tables import shared_path, shuffles_dropped, written
+from soleprint.llm.tables import settled, shared_path, shuffles_dropped
 
 KEY = ["t1", "t2"]
 # Bytes of text that a task holds as words at a time, and words of passages in an automaton.
@@ -128,14 +128,14 @@ def _numbered(texts: DataFrame) -> DataFrame:
     share of the texts meets the others.
     """
     order = ["at", *KEY]
-    rows = written(texts.select(*order, (F.octet_length("bytes") + 1).cast("long").alias("size"))
+    rows = settled(texts.select(*order, (F.octet_length("bytes") + 1).cast("long").alias("size"))
                    .repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "order")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = rows.groupBy("part").agg(F.sum("size").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     base = F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("start")
-    return written(rows.join(parts, "part").select(*KEY, base.alias("base")), "numbers")
+    return settled(rows.join(parts, "part").select(*KEY, base.alias("base")), "numbers")
 
 
 def _anchored(texts: DataFrame, shape: Shape) -> DataFrame:
@@ -152,8 +152,8 @@ def _anchored(texts: DataFrame, shape: Shape) -> DataFrame:
                     strict=True)], ["base", "h", "first", "n"])
 
     long_enough = texts.where(F.octet_length("bytes") >= 2 * shape.length - 1)
-    return written(long_enough.select("base", "bytes").mapInArrow(
-        run, "base long, h long, first int, n int"), "anchors", "zstd")
+    return settled(long_enough.select("base", "bytes").mapInArrow(
+        run, "base long, h long, first int, n int"), "anchors")
 
 
 def _by_text(rows: DataFrame, numbers: DataFrame, key: str, name: str) -> DataFrame:
@@ -183,8 +183,8 @@ def _windows(texts: DataFrame, shape: Shape) -> DataFrame:
                 [pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)],
                 ["h", "w", "base", "start"])
 
-    return written(texts.select("base", "bytes", "open").mapInArrow(
-        run, "h long, w long, base long, start int"), "windows", "zstd")
+    return settled(texts.select("base", "bytes", "open").mapInArrow(
+        run, "h long, w long, base long, start int"), "windows")
 
 
 def _passages(repeats: DataFrame) -> DataFrame:
@@ -204,8 +204,8 @@ def _passages(repeats: DataFrame) -> DataFrame:
                 ["base", "start", "n", "lead", "lead_start"])
 
     # A run that ends with a batch or a task is two passages that overlap, which does no harm.
-    return written(repeats.repartition("base").sortWithinPartitions("base", "start").mapInArrow(
-        run, "base long, start int, n long, lead long, lead_start int"), "passages", "zstd")
+    return settled(repeats.repartition("base").sortWithinPartitions("base", "start").mapInArrow(
+        run, "base long, start int, n long, lead long, lead_start int"), "passages")
 
 
 def _words_of(texts: DataFrame, shape: Shape) -> DataFrame:
@@ -277,16 +277,16 @@ def repeated_phrases(texts: DataFrame, numbers: DataFrame, shape: Shape) -> Data
     """``base`` of each text that repeats something, its bucket key, and ``phrases``: the words of
     all passages that it is believed to repeat, with the place of their first occurrence."""
     found = _anchored(texts.join(numbers, KEY), shape)
-    shared = written(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"),
+    shared = settled(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"),
                      "shared")
     open_texts = _by_text(found.join(shared, "h", "left_semi"), numbers, "base", "open")
     windows = _windows(texts.join(open_texts, KEY), shape)
     # A text is before another if its base is smaller, so both minima are of the same occurrence.
-    first = written(windows.groupBy("h", "w").agg(
+    first = settled(windows.groupBy("h", "w").agg(
         F.count("*").alias("n"), F.min("base").alias("lead"),
         F.min(F.col("base") + F.col("start")).alias("place")).where("n > 1").select(
         "h", "w", "lead", (F.col("place") - F.col("lead")).cast("int").alias("lead_start")),
-        "first", "zstd")
+        "first")
     repeats = windows.join(first, ["h", "w"]).where(
         (F.col("base") != F.col("lead")) | (F.col("start") != F.col("lead_start")))
     passages = _passages(repeats.select("base", "start", "lead", "lead_start"))

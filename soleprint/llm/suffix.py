@@ -1,16 +1,15 @@
-"""Removal of long repeated byte strings by prefix doubling over anchored positions.
+"""Removal of long repeated byte strings by hashing ranges of them around anchors.
 
-Prefix doubling sorts all positions by the rank of ever longer strings that start there, and drops
-a position once its string is unique. Over all bytes that is one row per byte and round. Here the
-positions are thinned first, without losing a match: every string of ``length`` bytes is filed under
-one of its positions, its anchor, that depends on nothing but the string (the leftmost one whose
-next ``gram`` bytes hash lowest; these hashes are doubled up from single bytes). Equal strings have
+Prefix doubling would sort all positions by the rank of ever longer strings that start there, one
+row per byte and round; this is another method. Positions are thinned first, without losing a match:
+every string of ``length`` bytes is filed under one of its positions, its anchor, that depends on
+nothing but the string (the leftmost one whose next ``gram`` bytes hash lowest). Equal strings have
 anchors at equal distances. So the strings filed under an anchor are a range of distances, and
 rounds compare what all strings of a range share: from about half of ``length`` up to all of it.
 
-Each round ranks ranges by this shared part, and drops those that are alone with theirs. Of the
-others, a range whose whole surroundings occur elsewhere too is repeated all through; what is left
-is cut into smaller ranges, with a longer shared part, until a range is a single string.
+Each round groups ranges by a hash of this shared part, and drops those that are alone with theirs.
+Of the others, a range whose whole surroundings occur elsewhere too is repeated all through; what is
+left is cut into smaller ranges, with a longer shared part, until a range is a single string.
 """
 
 from collections.abc import Iterator
@@ -22,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from soleprint.llm.tables import saved, union, written
+from soleprint.llm.tables import saved, settled, union
 
 TEXT_KEY = ("t1", "t2")
 
@@ -185,11 +184,11 @@ def _ranked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     shared = saved(rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1")
                    .select("k1", "k2"))
-    left = written(rows.join(shared, ["k1", "k2"], "left_semi"), "ranges")
+    left = settled(rows.join(shared, ["k1", "k2"], "left_semi"), "ranges")
     around = saved(left.groupBy("u1", "u2").agg(F.count("*").alias("n"))
                    .where("n > 1").select(F.col("u1").alias("s1"), F.col("u2").alias("s2")))
     marked = left.join(around, (F.col("u1") == F.col("s1")) & (F.col("u2") == F.col("s2")), "left")
-    marked = written(marked.select(*TEXT_KEY, "a", "root", "d0", "d1", "k1", "k2",
+    marked = settled(marked.select(*TEXT_KEY, "a", "root", "d0", "d1", "k1", "k2",
                                    F.col("s1").isNotNull().alias("all")), "ranked")
     open_parts = saved(marked.where("NOT all").select("k1", "k2").distinct())
     return marked.where("all"), marked.join(open_parts, ["k1", "k2"], "left_semi")
@@ -202,7 +201,7 @@ def repeated_starts(docs: DataFrame, length: int = 400, text: str = "text") -> D
     texts = _keyed(docs, text)
     found, open_ranges = _ranked(_first_ranges(texts, scale))
     parts = [found]
-    contexts = written(_contexts(texts, open_ranges, scale), "contexts")
+    contexts = settled(_contexts(texts, open_ranges, scale), "contexts")
     for size in scale.ranges[1:]:
         found, open_ranges = _ranked(_next_ranges(contexts, open_ranges, size, scale))
         parts.append(found)
@@ -234,7 +233,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", t
     enough. An empty table gives none. A text must be shorter than 4 GB.
     """
     rows = _keyed(docs, text).select(F.col(f"`{doc_id}`").alias("doc_id"), *TEXT_KEY, "bytes")
-    spans = written(repeated_starts(docs, length, text), "spans")
+    spans = settled(repeated_starts(docs, length, text), "spans")
     joined = rows.join(spans, list(TEXT_KEY), "left").select("doc_id", "bytes", "spans")
     run_type = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 

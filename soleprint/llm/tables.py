@@ -40,10 +40,15 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
 def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` computed once and kept as compressed Parquet in the shared checkpoint folder."""
     path = shared_path(df.sparkSession, name)
-    with shuffles_dropped(df.sparkSession):
-        df.write.parquet(path, compression=compression)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Like :func:`written`, as small as can be, and without leaving the shuffles behind it."""
+    with shuffles_dropped(df.sparkSession):
+        return written(df, name, "zstd")
+
+
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
