@@ -16,10 +16,12 @@ from functools import lru_cache
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-PIECE = re.compile(r"[ \t\n\r]*(?:[^\w \t\n\r]|_)*[^\W_]+|[ \t\n\r]*(?:[^\w \t\n\r]|_)+|[ \t\n\r]+")
+# White space, then marks, then letters and digits, as many as there are of each.
+PIECE = re.compile(r"[ \t\n\r]*+[^\w \t\n\r]*+(?:_[^\w \t\n\r]*+)*+[^\W_]*+")
 WHOLE = re.compile(
     r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000"
     r"\ufeff]|<\|")
+WHOLE_ASCII = re.compile(r"[\x0b\x0c\x1c-\x1f]|<\|")
 # Characters of text handled at a time, and pieces that a Python worker remembers.
 SLICE_CHARS = 4_000_000
 CACHED_PIECES = 800_000
@@ -34,7 +36,7 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {"": b""}  # each text ends with an empty piece
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -43,7 +45,8 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian int32 bytes."""
         kept = self.kept
-        pieces = [None if WHOLE.search(t) else PIECE.findall(t) for t in texts]
+        pieces = [None if (WHOLE_ASCII if t.isascii() else WHOLE).search(t) else PIECE.findall(t)
+                  for t in texts]
         known = set().union(*filter(None, pieces))
         fresh = list(known.difference(kept))
         found = dict(zip(fresh, self._encode(fresh), strict=True))
