@@ -446,6 +446,31 @@ def stream_time_ticks_stream(spark, sf_dir):
     return spark.read.schema(ticks.schema).parquet(streams.log_path(root, "ticks"))
 
 
+@register
+def shoe_table_late_stream(spark, sf_dir):
+    """Slices come last first, so that every update of an earlier one is late."""
+    root, updates = _stream_root(spark), views.shoe_updates(spark, sf_dir)
+    cut, order = SLICES - 1 - _cut(updates, F.col("event_id")), ("ts", "event_id")
+    stream = _topic(spark, updates, f"{root}/updates")
+    _grow([(updates, cut, f"{root}/updates")],
+          lambda: streams.start_shoe_table(stream, root, order))
+    return streams.current_shoes(spark, root, updates.schema, order=order)
+
+
+@register
+def running_total_arrival_stream(spark, sf_dir):
+    """Clicks are numbered as they arrive, which is not in order of their event times."""
+    root, clicks = _stream_root(spark), views.clicks(spark, sf_dir)
+    order = ("arrival", "event_id")
+    stream = _topic(spark, clicks, f"{root}/clicks")
+    _grow([(clicks, _cut(clicks, F.unix_micros("arrival")), f"{root}/clicks")],
+          lambda: streams.start_click_counter(stream, root, order=order))
+    schema = T.StructType([
+        T.StructField("key", T.StringType()), *(clicks.schema[n] for n in ("partition", *order)),
+        T.StructField("total", T.LongType())])
+    return read_log(spark, streams.log_path(root, "counter"), schema).drop(BATCH_ID)
+
+
 @register
 def live_windows_stream(spark, sf_dir):
     root = _stream_root(spark)

@@ -199,6 +199,13 @@ _BODIES = {
           FROM clicks GROUP BY "partition", time_bucket(INTERVAL 10 SECOND, ts))
         WHERE tick + INTERVAL 10 SECOND
           <= (SELECT date_trunc('milliseconds', max(ts)) FROM clicks) - INTERVAL 1009 SECOND""",
+    "shoe_table_late_stream": """
+        SELECT event_id, id, name, ts FROM shoe_updates
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC, event_id DESC) = 1""",
+    "running_total_arrival_stream": """
+        SELECT 'TOTAL' AS key, "partition", arrival, event_id,
+          count(*) OVER (PARTITION BY "partition" ORDER BY arrival, event_id) AS total
+        FROM clicks""",
     "live_windows_stream": """
         SELECT * FROM hopping
         WHERE window_start + INTERVAL 30 MINUTE

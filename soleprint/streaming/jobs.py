@@ -24,7 +24,6 @@ from soleprint.streaming.batchlog import (
     log_writer,
     make_dir,
     read_latest,
-    read_log,
 )
 
 Trigger = dict[str, object]
@@ -77,21 +76,23 @@ def start_log(rows: DataFrame, root: str, name: str, mode: str, **trigger: objec
 def start_shoe_table(
     shoes: DataFrame, root: str, order: Sequence[str], **trigger: object
 ) -> StreamingQuery:
-    """Keep the latest version of each product: reduce the micro-batch, then log it."""
+    """Keep the latest version of each product in ``order``: reduce the micro-batch, then log it."""
     path = log_path(root, "shoes")
     reduce = log_writer(path, lambda batch: latest_by_key(batch, ["id"], order))
     return _start(shoes, root, "shoes", reduce, "append", trigger)
 
 
 def current_shoes(
-    spark: SparkSession, root: str, schema: T.StructType, missing_ok: bool = False
+    spark: SparkSession, root: str, schema: T.StructType, missing_ok: bool = False,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """The product table as the micro-batches finished so far left it.
 
-    Before the first of them it is an error to ask, as clicks joined with no product are lost;
+    With the ``order`` of ``start_shoe_table`` it is the table that a batch over all updates gives,
+    also where updates come late; without, a later micro-batch replaces an earlier one. Before the first of them it is an error to ask, as clicks joined with no product are lost;
     ``missing_ok`` gives an empty table instead.
     """
-    return read_latest(spark, log_path(root, "shoes"), schema, ["id"], missing_ok)
+    return read_latest(spark, log_path(root, "shoes"), schema, ["id"], missing_ok, order)
 
 
 def start_enrichment(
@@ -148,9 +149,9 @@ def start_click_counter(
 ) -> StreamingQuery:
     """Number the clicks one by one, in ``order`` within each micro-batch.
 
-    A micro-batch is numbered by the distributed scan and moved up by the totals before it. The
-    totals, one row per value of ``by``, are a small log of their own; a micro-batch run again
-    reads only totals of earlier ones.
+    A micro-batch is numbered by the distributed scan and moved up by the totals before it. Each
+    micro-batch writes the totals so far, one row per value of ``by``, and reads those of the one
+    before it and no others.
     """
     by = list(by)
     totals_schema = T.StructType(
@@ -160,10 +161,8 @@ def start_click_counter(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        earlier = latest_by_key(
-            read_log(spark, totals, totals_schema, missing_ok=True).where(F.col(BATCH_ID) < batch_id),
-            ["key", *by], [BATCH_ID],
-        ).drop(BATCH_ID)
+        earlier = spark.createDataFrame([], totals_schema) if batch_id == 0 else (
+            spark.read.schema(totals_schema).parquet(f"{totals}/{BATCH_ID}={batch_id - 1}"))
         batch = batch.select(*dict.fromkeys([*by, *order])).persist()
         try:
             if not batch_done(spark, counter, batch_id):
