@@ -5,9 +5,10 @@ context u was seen (by powers of two). These weights are learned by expectation-
 held-out counts: each training token is taken out of the counts before it is predicted, so every
 token serves as held out from all others. A context without any count keeps b and c.
 
-Counts stay spread over the cluster. Documents are dealt into chunks; a chunk asks for the counts of
-its different words and bigrams, and gets them back, in the same order, from the tasks that added
-them up. Words and bigrams travel as hashes, many to a row, and texts in compressed batches.
+Counts stay spread over the cluster, and texts are read and cut into tokens once. Each task takes its
+rows in chunks as they come. A chunk is written as numbers of tokens, along with messages that ask for
+the counts of its different words and bigrams; these travel as hashes, many to a message. The tasks
+that add the counts up answer each chunk, and later passes read its numbers and answers.
 """
 
 from collections.abc import Iterator
@@ -17,11 +18,14 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from soleprint.llm.tables import written
+from soleprint.llm.tables import settled, shuffles_dropped
 
 END, START = np.uint64(0x27220A957A6F1B5D), np.uint64(0x9FB21C651E98DF25)
 MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(32))
@@ -33,10 +37,12 @@ STEPS, FINE = 160, 4
 
 @dataclass(frozen=True)
 class Shape:
-    """``chunk_bytes`` of text make a chunk, ``parts`` hashes of n-grams are dealt to as many
-    tasks, ``rounds`` of expectation-maximisation are made. Only ``rounds`` changes results."""
+    """``chunk_bytes`` of text make a chunk, hashes of n-grams are dealt to ``parts`` groups, one
+    for each ``part_bytes`` of text if not given, and ``rounds`` of expectation-maximisation are
+    made. Only ``rounds`` changes results."""
 
     chunk_bytes: int = 8 << 20
+    part_bytes: int = 32 << 20
     parts: int | None = None
     rounds: int = 60
 
@@ -44,9 +50,10 @@ class Shape:
 class Tokens:
     """The tokens of some texts: lower-case words, and an end after each text.
 
-    ``kinds`` and ``pair_kinds`` are the hashes of all different tokens (and of the start of texts)
-    and bigrams; ``word``, ``before`` and ``pair`` say for each token which it is, follows and
-    ends; ``text`` is the text it belongs to.
+    ``keys`` are the hashes of all different tokens, of the start of texts and of all different
+    bigrams, each once; ``start``, ``word``, ``before`` and ``pair`` say where among them the start
+    is, and for each token which it is, follows and ends; ``text`` is the text it belongs to. The
+    last bit of a hash is 1 for words and 0 for bigrams, the others tell them apart.
     """
 
     def __init__(self, texts: list[bytes]):
@@ -54,7 +61,8 @@ class Tokens:
         different = list(set().union(*own))
         place = dict(zip(different, range(len(different)), strict=True))
         hashes = [xxhash.xxh64_intdigest(w) for w in different]
-        self.kinds = np.append(np.array(hashes, np.uint64), [END, START])
+        kinds = np.append(np.array(hashes, np.uint64), [END, START]) | np.uint64(1)
+        self.start = len(different) + 1
         sizes = np.fromiter(map(len, own), np.int64, len(own)) + 1
         ends = np.cumsum(sizes) - 1
         self.word = np.full(int(sizes.sum()), len(different))
@@ -62,86 +70,87 @@ class Tokens:
         inner[ends] = False
         self.word[inner] = np.fromiter(
             map(place.__getitem__, chain.from_iterable(own)), np.int64, int(inner.sum()))
-        self.before = np.roll(self.word, 1)
-        self.before[np.append(0, ends[:-1] + 1)] = len(different) + 1
-        self.text = np.repeat(np.arange(len(texts)), sizes)
-        pair = self.kinds[self.before] * MIX[0] + self.kinds[self.word]
-        pair = (pair ^ pair >> MIX[2]) * MIX[1]
-        self.pair_kinds, self.pair = np.unique(pair ^ pair >> MIX[2], return_inverse=True)
-
-
-class Keys:
-    """All different hashes of a chunk's tokens and bigrams, in the order in which they are sent:
-    part by part, ascending; and where those of each token are among them."""
-
-    def __init__(self, tokens: Tokens, parts: int):
-        keys = np.unique(np.concatenate((tokens.kinds, tokens.pair_kinds)))
-        part = (keys % np.uint64(parts)).astype(np.int64)
-        self.order = np.argsort(part, kind="stable")
-        self.ends = np.searchsorted(part[self.order], np.arange(parts + 1))
-        self.sorted = keys
-        kinds = np.searchsorted(keys, tokens.kinds)
-        self.start = kinds[-1]
-        self.word, self.before = kinds[tokens.word], kinds[tokens.before]
-        self.pair = np.searchsorted(keys, tokens.pair_kinds)[tokens.pair]
-
-
-def _packed(rows: DataFrame, chunks: int) -> DataFrame:
-    """``rows`` as compressed Arrow batches, one for each chunk of each batch read."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            chunk = np.asarray(batch.column("mark")) % chunks
-            order = np.argsort(chunk, kind="stable")
-            table = batch.drop_columns(["mark"])
-            found, first = np.unique(chunk[order], return_index=True)
-            blobs = []
-            for own in np.split(order, first[1:]):
-                sink = pa.BufferOutputStream()
-                options = pa.ipc.IpcWriteOptions(compression="zstd")
-                with pa.ipc.new_stream(sink, table.schema, options=options) as stream:
-                    stream.write_batch(table.take(pa.array(own)))
-                blobs.append(sink.getvalue().to_pybytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found if len(blobs) else [], pa.int64()), pa.array(blobs, pa.binary())],
-                ["chunk", "blob"])
-
-    return rows.mapInArrow(run, "chunk long, blob binary")
-
-
-def _opened(group: pd.DataFrame) -> pa.Table:
-    return pa.concat_tables(
-        [pa.ipc.open_stream(blob).read_all() for blob in group["blob"]]).combine_chunks()
-
-
-def _ask(packed: DataFrame, parts: int) -> DataFrame:
-    """For each chunk and part: the chunk's hashes, and how often training texts there hold them.
-
-    A part's hashes are sent as six bytes, which are different enough among those of one part.
+        self.before = preceding(self.word, sizes, self.start)
+        self.sizes, self.text = sizes, np.repeat(np.arange(len(texts)), sizes)
+        pairs, pair = np.unique(self.before * len(kinds) + self.word, return_inverse=True)
+        self.pair = pair + len(kinds)
+        mixed = kinds[pairs // len(kinds)] * MIX[0] + kinds[pairs % len(kinds)]
+        mixed = (mixed ^ mixed >> MIX[2]) * MIX[1]
+        self.keys = np.append(kinds, (mixed ^ mixed >> MIX[2]) & ~np.uint64(1))
+
+
+def preceding(word: np.ndarray, sizes: np.ndarray, start: int) -> np.ndarray:
+    """The token before each; ``start`` at the beginning of each text."""
+    before = np.roll(word, 1)
+    before[np.cumsum(sizes) - sizes] = start
+    return before
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """The rows in order, cut once ``limit`` bytes of text are reached; texts stay whole."""
+    held, size = [], 0
+    for batch in batches:
+        first = 0
+        for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+            size += n
+            if size >= limit:
+                held.append(batch.slice(first, i + 1 - first))
+                yield pa.Table.from_batches(held)
+                held, size, first = [], 0, i + 1
+        if first < batch.num_rows:
+            held.append(batch.slice(first))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _blob(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+ENCODED = "chunk long, part long, keys binary, counts binary, rows binary, tokens binary"
+
+
+def encode(rows: DataFrame, chunk_bytes: int, parts: int) -> DataFrame:
+    """For each chunk a row without ``part``: ids and sizes of its texts, and its tokens; and a row
+    for each part that any of its hashes belong to, with these and their counts in training texts.
+
+    Tokens are numbers of hashes, in the order in which parts and the hashes in them are sent. A
+    chunk so has at most as many messages as hashes, however many parts there are.
     """
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        table = _opened(group)
-        tokens = Tokens(table.column("text").to_pylist())
-        keys = Keys(tokens, parts)
-        learned = np.asarray(table.column("learn").to_pylist(), bool)
-        use = learned[tokens.text]
-        counts = np.zeros(len(keys.sorted), np.int64)
-        for own in (keys.word[use], keys.pair[use]):
-            counts += np.bincount(own, minlength=len(counts))
-        counts[keys.start] += int(learned.sum())
-        word = np.zeros(len(counts), bool)
-        word[keys.word] = True
-        short = (keys.sorted >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-        rows = []
-        for part in range(parts):
-            own = keys.order[keys.ends[part]:keys.ends[part + 1]]
-            if len(own):
-                rows.append((int(group["chunk"].iloc[0]), part, short[own].tobytes(),
-                             counts[own].astype(np.int32).tobytes(),
-                             np.packbits(word[own]).tobytes()))
-        return pd.DataFrame(rows, columns=["chunk", "part", "keys", "counts", "words"])
-
-    return packed.groupBy("chunk").applyInPandas(
-        run, "chunk long, part long, keys binary, counts binary, words binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId() << 32
+        for number, table in enumerate(_chunks(batches, chunk_bytes)):
+            tokens = Tokens(table.column("text").to_pylist())
+            learned = np.asarray(table.column("learn").to_pylist(), bool)
+            use = learned[tokens.text]
+            counts = np.zeros(len(tokens.keys), np.int64)
+            for own in (tokens.word[use], tokens.pair[use]):
+                counts += np.bincount(own, minlength=len(counts))
+            counts[tokens.start] += int(learned.sum())
+            part = ((tokens.keys >> np.uint64(1)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            sent = np.empty(len(order), np.int32)
+            sent[order] = np.arange(len(order))
+            part, keys = part[order], tokens.keys[order]
+            counts = counts[order].astype(np.int32)
+            cuts = np.flatnonzero(np.diff(part, prepend=-1, append=parts))
+            spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+            own = table.drop_columns(["text"]).append_column("size", pa.array(tokens.sizes))
+            numbers = np.concatenate(([sent[tokens.start]], sent[tokens.word], sent[tokens.pair]))
+            none = [None] * len(spans)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([task + number] * (1 + len(spans)), pa.int64()),
+                pa.array([None, *part[cuts[:-1]].tolist()], pa.int64()),
+                pa.array([None, *(keys[a:b].tobytes() for a, b in spans)], pa.binary()),
+                pa.array([None, *(counts[a:b].tobytes() for a, b in spans)], pa.binary()),
+                pa.array([_blob(own), *none], pa.binary()),
+                pa.array([numbers.astype(np.int32).tobytes(), *none], pa.binary()),
+            ], ["chunk", "part", "keys", "counts", "rows", "tokens"])
+
+    return rows.mapInArrow(run, ENCODED)
 
 
 def _answer(asked: DataFrame) -> DataFrame:
@@ -150,41 +159,38 @@ def _answer(asked: DataFrame) -> DataFrame:
     ``tokens`` and ``kinds`` are the training tokens and different words of the part.
     """
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        def wide(keys: bytes) -> np.ndarray:
-            short = np.frombuffer(keys, np.uint8).reshape(-1, 6)
-            return np.pad(short, ((0, 0), (0, 2))).view("<u8").ravel()
-        keys = [wide(k) for k in group["keys"]]
+        keys = [np.frombuffer(k, np.uint64) for k in group["keys"]]
         every, place = np.unique(np.concatenate(keys), return_inverse=True)
         counts = np.concatenate([np.frombuffer(c, np.int32) for c in group["counts"]])
         # As doubles, which hold whole numbers up to 2 ** 53.
         total = np.bincount(place, weights=counts, minlength=len(every)).astype(np.int64)
-        word = np.concatenate([np.unpackbits(np.frombuffer(w, np.uint8), count=len(k)).astype(bool)
-                               for w, k in zip(group["words"], keys, strict=True)])
-        words = np.zeros(len(every), bool)
-        words[place[word]] = True
+        words = total[(every & np.uint64(1) == 1) & (every != START | np.uint64(1))]
         ends = np.cumsum([0, *map(len, keys)])
         answers = [total[place[a:b]].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
         return pd.DataFrame({
             "chunk": group["chunk"], "part": group["part"], "counts": answers,
-            "tokens": [int(total[words].sum())] + [0] * (len(group) - 1),
-            "kinds": [int((total[words] > 0).sum())] + [0] * (len(group) - 1)})
+            "tokens": [int(words.sum())] + [0] * (len(group) - 1),
+            "kinds": [int((words > 0).sum())] + [0] * (len(group) - 1)})
 
     return asked.groupBy("part").applyInPandas(
         run, "chunk long, part long, counts binary, tokens long, kinds long")
 
 
 class Counted:
-    """A chunk's tokens with their counts in the whole table."""
-
-    def __init__(self, table: pa.Table, answers: pd.DataFrame, parts: int):
-        self.tokens = Tokens(table.column("text").to_pylist())
-        self.learn = np.asarray(table.column("learn").to_pylist(), bool)
-        keys = Keys(self.tokens, parts)
-        counts = np.zeros(len(keys.sorted), np.int64)
-        for part, own in zip(answers["part"], answers["counts"], strict=True):
-            counts[keys.order[keys.ends[part]:keys.ends[part + 1]]] = np.frombuffer(own, np.int64)
-        self.word, self.pair, self.context = (
-            counts[own] for own in (keys.word, keys.pair, keys.before))
+    """A chunk's texts (``rows``, without the words) and tokens, with the tokens' counts in the
+    whole table."""
+
+    def __init__(self, chunk: pa.Table, answers: pa.Table):
+        self.rows = pa.ipc.open_stream(chunk.column("rows")[0].as_py()).read_all()
+        self.learn = np.asarray(self.rows.column("learn").to_pylist(), bool)
+        self.sizes = self.rows.column("size").to_numpy()
+        self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        numbers = np.frombuffer(chunk.column("tokens")[0].as_py(), np.int32)
+        word, pair = np.split(numbers[1:], 2)
+        counts = np.frombuffer(
+            b"".join(answers.sort_by("part").column("counts").to_pylist()), np.int64)
+        self.word, self.pair = counts[word], counts[pair]
+        self.context = counts[preceding(word, self.sizes, numbers[0])]
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -201,24 +207,23 @@ def _fine(ratio: np.ndarray) -> np.ndarray:
     return np.where(ratio > 0, np.clip(step, 1, STEPS - 1), 0).astype(np.int64)
 
 
-def _held_out(packed: DataFrame, answers: DataFrame, total: int, parts: int) -> np.ndarray:
+def _held_out(chunks: DataFrame, answers: DataFrame, total: int) -> np.ndarray:
     """How many training tokens have a context in each bucket, and each step of both ratios, with
     the token itself taken out of the counts: at most ``BUCKETS`` * ``STEPS`` ** 2 numbers."""
-    def run(key, group: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if not len(group):
-            return pd.DataFrame({"cell": [], "n": []}).astype("int64")
-        c = Counted(_opened(group), own, parts)
-        use = c.learn[c.tokens.text]
+    def run(chunk: pa.Table, own: pa.Table) -> pa.Table:
+        c = Counted(chunk, own)
+        use = c.learn[c.text]
         context = c.context[use] - 1
         pair = _fine(_ratio(c.pair[use] - 1, context))
         word = _fine(_ratio(c.word[use] - 1, np.full(int(use.sum()), max(1, total - 1))))
         cells = (bucket_of(context) * STEPS + pair) * STEPS + word
         cell, n = np.unique(cells, return_counts=True)
-        return pd.DataFrame({"cell": cell, "n": n})
+        return pa.table({"cell": cell.astype(np.int64), "n": n.astype(np.int64)})
 
-    rows = packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
+    rows = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         run, "cell long, n long")
-    sums = rows.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    with shuffles_dropped(chunks.sparkSession):
+        sums = rows.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(BUCKETS * STEPS * STEPS)
     table[sums["cell"].to_numpy(np.int64)] = sums["n"]
     return table.reshape(BUCKETS, STEPS, STEPS)
@@ -257,42 +262,43 @@ def score_texts(
     ``base_score`` adds up log10((c + 1) / (N + V + 1)) over the tokens, with c the token's count
     and N and V all and different tokens of the training rows; ``score`` adds up the model's log10
     probabilities; ``n_known`` tokens have c > 0. A null text counts as an empty one, which is just
-    its end. A null in ``learn`` is false. Repeated rows count and are scored one by one; without
-    training rows all tokens are equally improbable. An empty table gives none.
+    its end. A null in ``learn`` is false. Ids may be of any type that Arrow carries, null included.
+    Repeated rows count and are scored one by one; without training rows all tokens are equally
+    improbable. An empty table gives none. A very long text is a chunk of its own, so its tokens
+    must fit into one task. Words and bigrams are told apart by 63 bits of hash.
     """
-    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"),
-                       whole.cast("binary").alias("text"),
-                       F.coalesce(learn, F.lit(False)).alias("learn"),
-                       F.shiftrightunsigned(F.xxhash64(F.col(f"`{doc_id}`"), whole), 1)
-                       .alias("mark"))
+    identity = F.col(f"`{doc_id}`").alias("doc_id")
+    rows = docs.select(
+        identity, F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"),
+        F.coalesce(learn, F.lit(False)).alias("learn"))
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
-    chunks = max(1, -(-size // shape.chunk_bytes))
-    parts = shape.parts or chunks
-    packed = _packed(rows, chunks)
-    answers = written(_answer(_ask(packed, parts)), "counts")
+    parts = shape.parts or max(1, -(-size // shape.part_bytes))
+    encoded = settled(encode(rows, shape.chunk_bytes, parts), "chunks")
+    chunks = encoded.where("part IS NULL").select("chunk", "rows", "tokens")
+    asked = encoded.where("part IS NOT NULL").select("chunk", "part", "keys", "counts")
+    answers = settled(_answer(asked), "counts")
     total, kinds = (n or 0 for n in answers.agg(F.sum("tokens"), F.sum("kinds")).first())
     answers = answers.select("chunk", "part", "counts")
     uniform = 1 / (kinds + 1)
-    weights = learn_weights(_held_out(packed, answers, total, parts), uniform, shape.rounds)
+    weights = learn_weights(_held_out(chunks, answers, total), uniform, shape.rounds)
 
-    def run(key, group: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        table = _opened(group)
-        c = Counted(table, own, parts)
+    def run(chunk: pa.Table, own: pa.Table) -> pa.Table:
+        c = Counted(chunk, own)
         mix = weights[bucket_of(c.context)]
         model = (mix[:, 0] * _ratio(c.pair, c.context) + mix[:, 1] * c.word / max(1, total)
                  + mix[:, 2] * uniform)
         base = np.log10(c.word + 1.0) - np.log10(total + kinds + 1.0)
         def per_text(x):
-            return np.bincount(c.tokens.text, weights=x, minlength=len(c.learn))
-        return pd.DataFrame({
-            "doc_id": table.column("doc_id").to_pylist(), "learned": c.learn,
-            "n_tokens": np.bincount(c.tokens.text, minlength=len(c.learn)),
-            "n_known": per_text(c.word > 0).astype(np.int64), "train_tokens": total,
-            "base_score": per_text(base), "score": per_text(np.log10(model))})
-
-    scored = packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-        run, "doc_id string, learned boolean, n_tokens long, n_known long, train_tokens long, "
-             "base_score double, score double")
-    kind = docs.select(F.col(f"`{doc_id}`")).schema[0].dataType
-    return scored.withColumn("doc_id", F.col("doc_id").cast(kind))
+            return np.bincount(c.text, weights=x, minlength=len(c.learn))
+        return pa.table([
+            c.rows.column("doc_id"), pa.array(c.learn), pa.array(c.sizes),
+            pa.array(per_text(c.word > 0).astype(np.int64)),
+            pa.array(np.full(len(c.learn), total, np.int64)), pa.array(per_text(base)),
+            pa.array(per_text(np.log10(model)))], names=schema.names)
+
+    schema = T.StructType([docs.select(identity).schema[0], *(
+        T.StructField(name, kind) for name, kind in (
+            ("learned", T.BooleanType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()),
+            ("train_tokens", T.LongType()), ("base_score", T.DoubleType()),
+            ("score", T.DoubleType())))])
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
