@@ -6,9 +6,9 @@ held-out counts: each training token is taken out of the counts before it is pre
 token serves as held out from all others. A context without any count keeps b and c.
 
 Counts stay spread over the cluster, and texts are read and cut into tokens once. Each task takes its
-rows in chunks as they come. A chunk is written as numbers of tokens, along with messages that ask for
-the counts of its different words and bigrams; these travel as hashes, many to a message. The tasks
-that add the counts up answer each chunk, and later passes read its numbers and answers.
+rows in chunks as they come. A chunk is written as numbers of tokens, along with messages that ask
+for the counts of its different words and bigrams; these travel as hashes, many to a message. The
+tasks that add the counts up answer each chunk, and later passes read its numbers and answers.
 """
 
 from collections.abc import Iterator
@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 
 from soleprint.llm.tables import settled, shuffles_dropped
 
+# Odd, like the hashes of all words.
 END, START = np.uint64(0x27220A957A6F1B5D), np.uint64(0x9FB21C651E98DF25)
 MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(32))
 # Contexts by the logarithm of their count; the first bucket is for contexts never seen.
@@ -47,43 +49,59 @@ class Shape:
     rounds: int = 60
 
 
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers by their first, second and further bytes, compressed."""
+    size = numbers.dtype.itemsize
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, size).T)
+    return zstandard.ZstdCompressor(1).compress(planes.tobytes())
+
+
+def unpack(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 class Tokens:
     """The tokens of some texts: lower-case words, and an end after each text.
 
-    ``keys`` are the hashes of all different tokens, of the start of texts and of all different
-    bigrams, each once; ``start``, ``word``, ``before`` and ``pair`` say where among them the start
-    is, and for each token which it is, follows and ends; ``text`` is the text it belongs to. The
-    last bit of a hash is 1 for words and 0 for bigrams, the others tell them apart.
+    ``kinds`` are the hashes of all different tokens and of the start of texts, ``word`` says which
+    of them each token is, ``sizes`` how many tokens each text has. From these follow ``keys``, the
+    hashes of all different tokens and bigrams, ``before`` and ``pair``, which of them precedes and
+    ends at each token, ``text``, which text it belongs to, and ``order``, that of ascending keys.
+    The last bit of a hash is 1 for words and 0 for bigrams, the others tell them apart.
     """
 
-    def __init__(self, texts: list[bytes]):
-        own = [t.lower().split() for t in texts]
-        different = list(set().union(*own))
-        place = dict(zip(different, range(len(different)), strict=True))
-        hashes = [xxhash.xxh64_intdigest(w) for w in different]
-        kinds = np.append(np.array(hashes, np.uint64), [END, START]) | np.uint64(1)
-        self.start = len(different) + 1
-        sizes = np.fromiter(map(len, own), np.int64, len(own)) + 1
-        ends = np.cumsum(sizes) - 1
-        self.word = np.full(int(sizes.sum()), len(different))
-        inner = np.ones(len(self.word), bool)
-        inner[ends] = False
-        self.word[inner] = np.fromiter(
-            map(place.__getitem__, chain.from_iterable(own)), np.int64, int(inner.sum()))
-        self.before = preceding(self.word, sizes, self.start)
-        self.sizes, self.text = sizes, np.repeat(np.arange(len(texts)), sizes)
-        pairs, pair = np.unique(self.before * len(kinds) + self.word, return_inverse=True)
+    def __init__(self, kinds: np.ndarray, word: np.ndarray, sizes: np.ndarray):
+        self.kinds, self.word, self.sizes = kinds, word, sizes
+        self.start = int(np.flatnonzero(kinds == START)[0])
+        self.before = np.roll(word, 1)
+        self.before[np.cumsum(sizes) - sizes] = self.start
+        self.text = np.repeat(np.arange(len(sizes)), sizes)
+        pairs, pair = np.unique(self.before * len(kinds) + word, return_inverse=True)
         self.pair = pair + len(kinds)
         mixed = kinds[pairs // len(kinds)] * MIX[0] + kinds[pairs % len(kinds)]
         mixed = (mixed ^ mixed >> MIX[2]) * MIX[1]
         self.keys = np.append(kinds, (mixed ^ mixed >> MIX[2]) & ~np.uint64(1))
-
-
-def preceding(word: np.ndarray, sizes: np.ndarray, start: int) -> np.ndarray:
-    """The token before each; ``start`` at the beginning of each text."""
-    before = np.roll(word, 1)
-    before[np.cumsum(sizes) - sizes] = start
-    return before
+        self.order = np.argsort(self.keys)
+
+
+def cut(texts: list[bytes]) -> Tokens:
+    """The tokens of ``texts``; frequent ones have small numbers, so that they pack well."""
+    own = [t.lower().split() for t in texts]
+    different = list(set().union(*own))
+    place = dict(zip(different, range(len(different)), strict=True))
+    hashes = [xxhash.xxh64_intdigest(w) for w in different]
+    kinds = np.append(np.array(hashes, np.uint64), [END, START]) | np.uint64(1)
+    sizes = np.fromiter(map(len, own), np.int64, len(own)) + 1
+    word = np.full(int(sizes.sum()), len(different))
+    inner = np.ones(len(word), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    word[inner] = np.fromiter(
+        map(place.__getitem__, chain.from_iterable(own)), np.int64, int(inner.sum()))
+    frequent = np.argsort(-np.bincount(word, minlength=len(kinds)), kind="stable")
+    number = np.empty(len(kinds), np.int64)
+    number[frequent] = np.arange(len(kinds))
+    return Tokens(kinds[frequent], number[word], sizes)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
@@ -110,45 +128,45 @@ def _blob(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-ENCODED = "chunk long, part long, keys binary, counts binary, rows binary, tokens binary"
+ENCODED = ("chunk long, part long, keys binary, counts binary, rows binary, kinds binary, "
+           "tokens binary")
 
 
 def encode(rows: DataFrame, chunk_bytes: int, parts: int) -> DataFrame:
     """For each chunk a row without ``part``: ids and sizes of its texts, and its tokens; and a row
-    for each part that any of its hashes belong to, with these and their counts in training texts.
+    for each part that any of its keys belong to, with these and their counts in training texts.
 
-    Tokens are numbers of hashes, in the order in which parts and the hashes in them are sent. A
-    chunk so has at most as many messages as hashes, however many parts there are.
+    Parts are ranges of keys, which are sent in ascending order as steps from one to the next. A
+    chunk has at most as many messages as keys, however many parts there are.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
         for number, table in enumerate(_chunks(batches, chunk_bytes)):
-            tokens = Tokens(table.column("text").to_pylist())
+            tokens = cut(table.column("text").to_pylist())
             learned = np.asarray(table.column("learn").to_pylist(), bool)
             use = learned[tokens.text]
-            counts = np.zeros(len(tokens.keys), np.int64)
+            counts = np.zeros(len(tokens.keys), np.int32)
             for own in (tokens.word[use], tokens.pair[use]):
-                counts += np.bincount(own, minlength=len(counts))
+                counts += np.bincount(own, minlength=len(counts)).astype(np.int32)
             counts[tokens.start] += int(learned.sum())
-            part = ((tokens.keys >> np.uint64(1)) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            sent = np.empty(len(order), np.int32)
-            sent[order] = np.arange(len(order))
-            part, keys = part[order], tokens.keys[order]
-            counts = counts[order].astype(np.int32)
+            keys, counts = tokens.keys[tokens.order], counts[tokens.order]
+            half = np.uint64(32)
+            part = ((keys >> half) * np.uint64(parts) >> half).astype(np.int64)
             cuts = np.flatnonzero(np.diff(part, prepend=-1, append=parts))
             spans = list(zip(cuts[:-1], cuts[1:], strict=True))
             own = table.drop_columns(["text"]).append_column("size", pa.array(tokens.sizes))
-            numbers = np.concatenate(([sent[tokens.start]], sent[tokens.word], sent[tokens.pair]))
             none = [None] * len(spans)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([task + number] * (1 + len(spans)), pa.int64()),
-                pa.array([None, *part[cuts[:-1]].tolist()], pa.int64()),
-                pa.array([None, *(keys[a:b].tobytes() for a, b in spans)], pa.binary()),
-                pa.array([None, *(counts[a:b].tobytes() for a, b in spans)], pa.binary()),
-                pa.array([_blob(own), *none], pa.binary()),
-                pa.array([numbers.astype(np.int32).tobytes(), *none], pa.binary()),
-            ], ["chunk", "part", "keys", "counts", "rows", "tokens"])
+            columns = [
+                (pa.int64(), [task + number] * (1 + len(spans))),
+                (pa.int64(), [None, *part[cuts[:-1]].tolist()]),
+                (pa.binary(), [None, *(pack(np.diff(keys[a:b], prepend=np.uint64(0)))
+                                       for a, b in spans)]),
+                (pa.binary(), [None, *(pack(counts[a:b]) for a, b in spans)]),
+                (pa.binary(), [_blob(own), *none]), (pa.binary(), [tokens.kinds.tobytes(), *none]),
+                (pa.binary(), [pack(tokens.word.astype(np.int32)), *none])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values, kind) for kind, values in columns],
+                ["chunk", "part", "keys", "counts", "rows", "kinds", "tokens"])
 
     return rows.mapInArrow(run, ENCODED)
 
@@ -159,14 +177,14 @@ def _answer(asked: DataFrame) -> DataFrame:
     ``tokens`` and ``kinds`` are the training tokens and different words of the part.
     """
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, np.uint64) for k in group["keys"]]
+        keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in group["keys"]]
         every, place = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.concatenate([np.frombuffer(c, np.int32) for c in group["counts"]])
+        counts = np.concatenate([unpack(c, np.int32) for c in group["counts"]])
         # As doubles, which hold whole numbers up to 2 ** 53.
         total = np.bincount(place, weights=counts, minlength=len(every)).astype(np.int64)
-        words = total[(every & np.uint64(1) == 1) & (every != START | np.uint64(1))]
+        words = total[(every & np.uint64(1) == 1) & (every != START)]
         ends = np.cumsum([0, *map(len, keys)])
-        answers = [total[place[a:b]].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        answers = [pack(total[place[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
         return pd.DataFrame({
             "chunk": group["chunk"], "part": group["part"], "counts": answers,
             "tokens": [int(words.sum())] + [0] * (len(group) - 1),
@@ -183,14 +201,16 @@ class Counted:
     def __init__(self, chunk: pa.Table, answers: pa.Table):
         self.rows = pa.ipc.open_stream(chunk.column("rows")[0].as_py()).read_all()
         self.learn = np.asarray(self.rows.column("learn").to_pylist(), bool)
-        self.sizes = self.rows.column("size").to_numpy()
-        self.text = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        numbers = np.frombuffer(chunk.column("tokens")[0].as_py(), np.int32)
-        word, pair = np.split(numbers[1:], 2)
-        counts = np.frombuffer(
-            b"".join(answers.sort_by("part").column("counts").to_pylist()), np.int64)
-        self.word, self.pair = counts[word], counts[pair]
-        self.context = counts[preceding(word, self.sizes, numbers[0])]
+        tokens = Tokens(
+            np.frombuffer(chunk.column("kinds")[0].as_py(), np.uint64),
+            unpack(chunk.column("tokens")[0].as_py(), np.int32).astype(np.int64),
+            self.rows.column("size").to_numpy())
+        self.sizes, self.text = tokens.sizes, tokens.text
+        counts = np.empty(len(tokens.keys), np.int64)
+        counts[tokens.order] = np.concatenate(
+            [unpack(c, np.int64) for c in answers.sort_by("part").column("counts").to_pylist()])
+        self.word, self.pair, self.context = (
+            counts[own] for own in (tokens.word, tokens.pair, tokens.before))
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -274,7 +294,7 @@ def score_texts(
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     parts = shape.parts or max(1, -(-size // shape.part_bytes))
     encoded = settled(encode(rows, shape.chunk_bytes, parts), "chunks")
-    chunks = encoded.where("part IS NULL").select("chunk", "rows", "tokens")
+    chunks = encoded.where("part IS NULL").select("chunk", "rows", "kinds", "tokens")
     asked = encoded.where("part IS NOT NULL").select("chunk", "part", "keys", "counts")
     answers = settled(_answer(asked), "counts")
     total, kinds = (n or 0 for n in answers.agg(F.sum("tokens"), F.sum("kinds")).first())
