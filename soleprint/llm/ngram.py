@@ -28,8 +28,9 @@ from pyspark.sql import types as T
 
 from soleprint.llm.tables import settled, shuffles_dropped
 
-# Odd, like the hashes of all words.
-END, START = np.uint64(0x27220A957A6F1B5D), np.uint64(0x9FB21C651E98DF25)
+# Hashes have 56 bits; those of words, the end and the start of texts are odd, others even.
+UNUSED, ODD = np.uint64(8), np.uint64(1)
+END, START = np.uint64(0x220A957A6F1B5D), np.uint64(0xB21C651E98DF25)
 MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(32))
 # Contexts by the logarithm of their count; the first bucket is for contexts never seen.
 BUCKETS = 32
@@ -44,7 +45,7 @@ class Shape:
     made. Only ``rounds`` changes results."""
 
     chunk_bytes: int = 8 << 20
-    part_bytes: int = 32 << 20
+    part_bytes: int = 16 << 20
     parts: int | None = None
     rounds: int = 60
 
@@ -81,7 +82,7 @@ class Tokens:
         self.pair = pair + len(kinds)
         mixed = kinds[pairs // len(kinds)] * MIX[0] + kinds[pairs % len(kinds)]
         mixed = (mixed ^ mixed >> MIX[2]) * MIX[1]
-        self.keys = np.append(kinds, (mixed ^ mixed >> MIX[2]) & ~np.uint64(1))
+        self.keys = np.append(kinds, ((mixed ^ mixed >> MIX[2]) >> UNUSED) & ~ODD)
         self.order = np.argsort(self.keys)
 
 
@@ -91,7 +92,7 @@ def cut(texts: list[bytes]) -> Tokens:
     different = list(set().union(*own))
     place = dict(zip(different, range(len(different)), strict=True))
     hashes = [xxhash.xxh64_intdigest(w) for w in different]
-    kinds = np.append(np.array(hashes, np.uint64), [END, START]) | np.uint64(1)
+    kinds = np.append(np.array(hashes, np.uint64) >> UNUSED | ODD, [END, START])
     sizes = np.fromiter(map(len, own), np.int64, len(own)) + 1
     word = np.full(int(sizes.sum()), len(different))
     inner = np.ones(len(word), bool)
@@ -150,8 +151,7 @@ def encode(rows: DataFrame, chunk_bytes: int, parts: int) -> DataFrame:
                 counts += np.bincount(own, minlength=len(counts)).astype(np.int32)
             counts[tokens.start] += int(learned.sum())
             keys, counts = tokens.keys[tokens.order], counts[tokens.order]
-            half = np.uint64(32)
-            part = ((keys >> half) * np.uint64(parts) >> half).astype(np.int64)
+            part = ((keys >> np.uint64(24)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(part, prepend=-1, append=parts))
             spans = list(zip(cuts[:-1], cuts[1:], strict=True))
             own = table.drop_columns(["text"]).append_column("size", pa.array(tokens.sizes))
@@ -162,7 +162,7 @@ def encode(rows: DataFrame, chunk_bytes: int, parts: int) -> DataFrame:
                 (pa.binary(), [None, *(pack(np.diff(keys[a:b], prepend=np.uint64(0)))
                                        for a, b in spans)]),
                 (pa.binary(), [None, *(pack(counts[a:b]) for a, b in spans)]),
-                (pa.binary(), [_blob(own), *none]), (pa.binary(), [tokens.kinds.tobytes(), *none]),
+                (pa.binary(), [_blob(own), *none]), (pa.binary(), [pack(tokens.kinds), *none]),
                 (pa.binary(), [pack(tokens.word.astype(np.int32)), *none])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values, kind) for kind, values in columns],
@@ -182,7 +182,7 @@ def _answer(asked: DataFrame) -> DataFrame:
         counts = np.concatenate([unpack(c, np.int32) for c in group["counts"]])
         # As doubles, which hold whole numbers up to 2 ** 53.
         total = np.bincount(place, weights=counts, minlength=len(every)).astype(np.int64)
-        words = total[(every & np.uint64(1) == 1) & (every != START)]
+        words = total[(every & ODD == ODD) & (every != START)]
         ends = np.cumsum([0, *map(len, keys)])
         answers = [pack(total[place[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
         return pd.DataFrame({
@@ -202,7 +202,7 @@ class Counted:
         self.rows = pa.ipc.open_stream(chunk.column("rows")[0].as_py()).read_all()
         self.learn = np.asarray(self.rows.column("learn").to_pylist(), bool)
         tokens = Tokens(
-            np.frombuffer(chunk.column("kinds")[0].as_py(), np.uint64),
+            unpack(chunk.column("kinds")[0].as_py(), np.uint64),
             unpack(chunk.column("tokens")[0].as_py(), np.int32).astype(np.int64),
             self.rows.column("size").to_numpy())
         self.sizes, self.text = tokens.sizes, tokens.text
@@ -285,7 +285,8 @@ def score_texts(
     its end. A null in ``learn`` is false. Ids may be of any type that Arrow carries, null included.
     Repeated rows count and are scored one by one; without training rows all tokens are equally
     improbable. An empty table gives none. A very long text is a chunk of its own, so its tokens
-    must fit into one task. Words and bigrams are told apart by 63 bits of hash.
+    must fit into one task. Words are told apart by 55 bits of hash, and
+    so are bigrams, apart from words.
     """
     identity = F.col(f"`{doc_id}`").alias("doc_id")
     rows = docs.select(
