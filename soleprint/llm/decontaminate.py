@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from soleprint.llm.encode import slices
 from soleprint.llm.tables import saved, union
@@ -25,6 +27,10 @@ from soleprint.llm.tables import saved, union
 BUCKETS = 1 << 17
 # Words folded into the latent space at a time; a multiple of all steps between windows.
 WORDS_AT_ONCE = 16_000
+# Words whose buckets a Python worker remembers, besides those of the slice at hand.
+REMEMBERED = 400_000
+# Passages of about the same length that share a bound.
+BOUNDED = 8
 # Bytes that are no part of a word when they stand at its ends.
 MARKS = b".,;:!?\"'()[]{}<>|*#%&$-_"
 
@@ -60,12 +66,27 @@ def bucket(word: bytes) -> int:
     return zlib.crc32(word) % BUCKETS
 
 
+class Places(dict):
+    """Buckets of words in lower case, -1 without more than marks; each word is looked at once."""
+
+    def __missing__(self, word: bytes) -> int:
+        plain = word.strip(MARKS)
+        self[word] = at = bucket(plain) if plain else -1
+        return at
+
+
+# Of the words that this Python worker has met.
+PLACES = Places()
+
+
 def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The words of all texts, as of ``words_of``, by their buckets; and where each text begins and
-    the last one ends. Each different word is looked at once."""
+    the last one ends."""
     own = [t.lower().split() for t in texts]
-    place = {w: bucket(plain) if (plain := w.strip(MARKS)) else -1 for w in set().union(*own)}
-    at = np.fromiter(map(place.__getitem__, chain.from_iterable(own)), np.int64)
+    if len(PLACES) > REMEMBERED:
+        PLACES.clear()
+    at = np.fromiter(map(PLACES.__getitem__, chain.from_iterable(own)), np.int64,
+                     sum(map(len, own)))
     real = np.concatenate(([0], np.cumsum(at >= 0)))
     return at[at >= 0], real[np.cumsum([0, *map(len, own)])]
 
@@ -81,7 +102,8 @@ def passage_frequencies(docs: DataFrame, length: int = 80) -> tuple[np.ndarray,
                 parts = -(-sizes // length)
                 first = np.repeat(np.cumsum(parts) - parts, sizes)
                 inside = np.arange(len(at)) - np.repeat(ends[:-1], sizes)
-                pairs = np.unique((first + inside // length) * BUCKETS + at)
+                pairs = np.sort((first + inside // length) * BUCKETS + at)
+                pairs = pairs[np.diff(pairs, prepend=-1) > 0]
                 found += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
                 total += int(parts.sum())
         used = np.flatnonzero(found)
@@ -226,7 +248,9 @@ class Index:
     """Passages and their space, ready to be looked up in texts."""
 
     def __init__(self, passages: list[Passage], idf, space: Space, search: Search):
-        self.search, self.idf, self.passages = search, idf.astype(np.float32), passages
+        self.search, self.passages = search, passages
+        # All tables have a last entry of nothing, which is that of places without a word.
+        self.idf = np.append(idf, 0).astype(np.float32)
         vectors, self.sparse = [], []
         for passage in passages:
             at, weights = weigh(passage.words, idf)
@@ -236,21 +260,29 @@ class Index:
             np.searchsorted(at, [bucket(w) for w in p.words]), minlength=len(at)))
             for p, (at, _) in zip(passages, self.sparse, strict=True)])
         self.norms = norms
-        self.place = np.zeros(BUCKETS, np.int32)
+        self.place = np.zeros(BUCKETS + 1, np.int32)
         self.place[space.buckets] = np.arange(1, len(space.buckets) + 1)
-        self.space = np.vstack([np.zeros((1, space.rows.shape[1]), np.float32), space.rows])
+        weighed = space.rows * self.idf[space.buckets, None]
+        self.space = np.vstack([np.zeros((1, space.rows.shape[1]), np.float32), weighed])
         sizes = np.array([len(p.words) for p in passages])
         self.groups = []
         before = 0
         for length in search.windows:
             own = np.flatnonzero((sizes > before) & (sizes <= length * 3 // 4))
+            own = own[np.argsort(norms[own], kind="stable")]
             before = length * 3 // 4
             if len(own):
-                most = np.zeros(BUCKETS, np.float32)  # that one word can add to any passage's product
-                for at, weights in (self.sparse[i] for i in own):
-                    most[at] = np.maximum(most[at], weights * idf[at])
+                few = np.array_split(own, -(-len(own) // BOUNDED))
+                # What one word can add to the product with any passage of the few.
+                most = np.zeros((len(self.space), len(few)), np.float32)
+                for k, some in enumerate(few):
+                    for at, weights in (self.sparse[i] for i in some):
+                        place = self.place[at]
+                        most[place, k] = np.maximum(most[place, k], weights * idf[at])
+                most[0] = 0
                 self.groups.append((length, own, np.array([vectors[i] for i in own], np.float32),
-                                    norms[own].astype(np.float32), most))
+                                    norms[own].astype(np.float32), most,
+                                    norms[[some[0] for some in few]].astype(np.float32)))
 
     def candidates(self, at: np.ndarray,
                    ends: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
@@ -261,8 +293,8 @@ class Index:
         Each text is filled up to a whole number of quarters of the longest window, and windows end
         with their text, so that no other text has a part in them.
         No window is left out too early: a product is at most the sum of what each word can add to
-        any passage's, and a window at least as long as if no word came twice. Those that pass are
-        folded, and measured exactly by their counted words.
+        that with any of a few passages, and a window at least as long as if no word came twice.
+        Those that may come near any of them are folded, and measured exactly by their counted words.
         """
         lengths = [length for length, *_ in self.groups]
         step, most = min(lengths, default=4) // 4, max(lengths, default=4)
@@ -279,31 +311,35 @@ class Index:
             rest = -len(own) % most + most
             own = np.concatenate((own, np.full(rest, -1)))
             owner = np.concatenate((owner, np.full(rest // step, -1)))
-            weight = np.where(own >= 0, self.idf[own], np.float32(0))
-            square = weight ** 2
+            square = self.idf[own] ** 2
+            place = self.place[own]
             chosen = []
             needed = np.zeros(len(own) // step, bool)
-            for length, _, _, norms, adds in self.groups:
+            for length, _, _, _, adds, lows in self.groups:
                 whose = owner[::length // 4 // step]
                 same = [whose[i:len(whose) - 3 + i] == whose[:-3] for i in range(4)]
                 total, bound = (
-                    sum(x[i:len(x) - 3 + i] * same[i] for i in range(4)) for x in (
-                        y.reshape(-1, length // 4).sum(axis=1)
-                        for y in (square, np.where(own >= 0, adds[own], np.float32(0)))))
+                    sum(x[i:len(x) - 3 + i] * same[i][:, None] for i in range(4)) for x in (
+                        y.reshape(-1, length // 4, y.shape[1]).sum(axis=1)
+                        for y in (square[:, None], adds[place])))
+                small = np.minimum(lows, np.sqrt(total))
+                total = total[:, 0]
                 starts = np.arange(len(total)) * (length // 4)
-                small = np.minimum(norms.min(), np.sqrt(total))
-                near = np.flatnonzero((bound >= 0.999 * least * small) & (total > 0)
+                near = np.flatnonzero((bound >= 0.999 * least * small).any(axis=1) & (total > 0)
                                       & (starts < WORDS_AT_ONCE))
                 chosen.append((near, total[near], [x[near, None] for x in same]))
                 for i in range(0, length // step):
                     needed[near * (length // 4 // step) + i] = True
             if not needed.any():
                 continue
-            places = np.where(own >= 0, self.place[own], 0).reshape(-1, step)[needed]
+            places = place.reshape(-1, step)[needed]
             rows = np.zeros((len(needed), self.space.shape[1]), np.float32)
-            rows[needed] = (weight.reshape(-1, 1, step)[needed]
-                            @ self.space.take(places, axis=0))[:, 0]
-            for (length, passages, vectors, norms, _), (near, total, same) in zip(
+            folded = np.zeros((len(places), self.space.shape[1]), np.float32)
+            for column in places.T:
+                known = np.flatnonzero(column)
+                folded[known] += self.space[column[known]]
+            rows[needed] = folded
+            for (length, passages, vectors, norms, *_), (near, total, same) in zip(
                     self.groups, chosen, strict=True):
                 if not len(near):
                     continue
@@ -393,17 +429,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search())
     of ``docs`` and item of ``benchmark`` whose text it holds.
 
     ``mark`` is a hash of the document's text. Texts are compared word by word in lower case. Null
-    texts and texts without words match nothing; null ids are kept as they are. Repeated documents
-    give repeated rows, repeated items one row per document. Empty tables give none.
+    texts and texts without words match nothing; ids may be of any atomic type, and null ids are kept
+    as they are. Repeated documents give repeated rows, repeated items one row per document. Empty
+    tables give none. A very long text is searched whole, in pieces of ``WORDS_AT_ONCE`` words.
     """
     items = saved(benchmark.select("item_id", F.col("text").cast("binary").alias("text")).where(
         "text IS NOT NULL").distinct())
     rows = docs.where("text IS NOT NULL").select(
         "doc_id", F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("text"))
-    item_kind = items.schema["item_id"].dataType.simpleString()
-    doc_kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = (f"doc_id {doc_kind}, mark long, item_id {item_kind}, share double, cosine double, "
-              "answer boolean")
+    item_kind, doc_kind = items.schema["item_id"].dataType, rows.schema["doc_id"].dataType
+    schema = T.StructType([
+        T.StructField("doc_id", doc_kind), T.StructField("mark", T.LongType()),
+        T.StructField("item_id", item_kind), T.StructField("share", T.DoubleType()),
+        T.StructField("cosine", T.DoubleType()), T.StructField("answer", T.BooleanType())])
     if items.isEmpty():
         return docs.sparkSession.createDataFrame([], schema)
     frequency, total = passage_frequencies(rows)
@@ -434,8 +472,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search())
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     names = ["doc_id", "mark", "item_id", "share", "cosine", "answer"]
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    types = [arrow[doc_kind], pa.int64(), arrow[item_kind], pa.float64(), pa.float64(), pa.bool_()]
+    types = to_arrow_schema(schema).types
     context = spark.sparkContext
     # Bounded by BUCKETS, ``dims`` and ``block``.
     idf_shared = context.broadcast(idf)

@@ -168,3 +168,34 @@ def test_long_items_are_judged_as_a_whole(spark):
                               "item_id long, text string")).collect()
     assert {(r["doc_id"], r["item_id"]): r["answer"] for r in got} == {
         (0, 0): True, (1, 1): True, (2, 2): True, (3, 3): True}
+
+
+def test_ids_of_other_types(spark):
+    text = "the quick brown fox jumps over the lazy dog again"
+    others = [(f"{i}", f"nothing{i} like{i} it{i} here{i}") for i in range(9)]
+    docs = spark.createDataFrame([("100", text), (None, text), *others], "doc_id string, text string")
+    benchmark = spark.createDataFrame([("5", text)], "item_id string, text string")
+    for kind in ("smallint", "decimal(9,2)", "binary", "timestamp", "double"):
+        cast = "timestamp_seconds(cast({} AS int))" if kind == "timestamp" else "cast({} AS " + kind + ")"
+        made = docs.selectExpr(cast.format("doc_id") + " AS doc_id", "text")
+        items = benchmark.selectExpr(cast.format("item_id") + " AS item_id", "text")
+        got = d.find_leaks(made, items)
+        assert got.schema["doc_id"].dataType == made.schema["doc_id"].dataType
+        want = made.where(f"text = '{text}'").select("doc_id").collect()
+        assert sorted(map(str, (r["doc_id"] for r in got.collect()))) == sorted(
+            str(r["doc_id"]) for r in want)
+
+
+def test_passage_frequencies_against_plain_counting(spark):
+    rng = random.Random(12)
+    texts = [" ".join(zipf_words(rng, n, 300)) + " ... !" for n in (0, 1, 79, 80, 81, 400)]
+    docs = spark.createDataFrame([(t,) for t in [*texts, texts[4]]], "text string").selectExpr("cast(text AS binary) AS text")
+    counts, total = d.passage_frequencies(docs)
+    want, parts = np.zeros(d.BUCKETS, int), 0
+    for t in [*texts, texts[4]]:
+        words = d.words_of(t.encode())
+        for i in range(0, len(words), 80):
+            parts += 1
+            for b in {d.bucket(w) for w in words[i:i + 80]}:
+                want[b] += 1
+    assert total == parts and np.array_equal(counts, want)
