@@ -27,8 +27,10 @@ from soleprint.llm.tables import saved, union
 BUCKETS = 1 << 17
 # Words folded into the latent space at a time; a multiple of all steps between windows.
 WORDS_AT_ONCE = 16_000
+# Bytes of text handled at a time.
+SLICE = 500_000
 # Words whose buckets a Python worker remembers, besides those of the slice at hand.
-REMEMBERED = 400_000
+REMEMBERED = 50_000
 # Passages of about the same length that share a bound.
 BOUNDED = 8
 # Bytes that are no part of a word when they stand at its ends.
@@ -96,7 +98,7 @@ def passage_frequencies(docs: DataFrame, length: int = 80) -> tuple[np.ndarray,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, total = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
-            for part in slices(batch.column("text").to_pylist(), 2_000_000):
+            for part in slices(batch.column("text").to_pylist(), SLICE):
                 at, ends = _numbered(part)
                 sizes = np.diff(ends)
                 parts = -(-sizes // length)
@@ -461,7 +463,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search())
             ids, marks = batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist()
             out = []
             first = 0
-            for part in slices(batch.column("text").to_pylist(), 2_000_000):
+            for part in slices(batch.column("text").to_pylist(), SLICE):
                 for k, hits in enumerate(
                         matches(indexes, part, *_numbered(part), search)):
                     out += [(ids[first + k], marks[first + k], item, *values)
