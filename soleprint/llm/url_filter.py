@@ -9,6 +9,7 @@ The arrays go to every task. Keys are therefore split by hash into shards, as ma
 keep each cascade under ``shard_bytes``; each pass over the pages handles one shard.
 """
 
+import json
 import math
 from dataclasses import dataclass
 from functools import reduce
@@ -70,7 +71,8 @@ class Level:
     words: list[int]
 
     def holds(self, key: Column) -> Column:
-        array = F.lit(self.words)
+        # One text, which the optimizer turns into an array once: a literal for each word takes long.
+        array = F.from_json(F.lit(json.dumps(self.words)), "array<bigint>")
         tests = []
         for bit in bit_positions(key, self.seed, self.hashes, 64 * len(self.words)):
             word = F.element_at(array, F.shiftright(bit, 6).cast("int") + 1)

@@ -1,5 +1,7 @@
 """Rules, and the cascade against plain membership."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,14 @@ def test_repeats_extra_columns_and_empty_table(spark):
     got = url_filter.judge_urls(pages, listed)
     assert sorted(r["verdict"] for r in got.collect()) == ["allow", "block", "block"]
     assert url_filter.judge_urls(pages.limit(0), listed).count() == 0
+
+
+def test_large_level_is_ready_in_seconds(spark):
+    words = [(i * 0x9E3779B97F4A7C15 + 1 << 1 & (1 << 64) - 1) - (1 << 63) for i in range(300_000)]
+    level = url_filter.Level(1, 1, words)
+    keys = spark.range(2000).select(F.col("id").cast("string").alias("key"))
+    bit = url_filter.bit_positions(F.col("key"), 1, 1, 64 * len(words))[0]
+    start = time.monotonic()
+    got = keys.select(level.holds(F.col("key")).alias("holds"), bit.alias("bit")).collect()
+    assert time.monotonic() - start < 60
+    assert all(r["holds"] == bool(words[r["bit"] >> 6] >> (r["bit"] & 63) & 1) for r in got)
