@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from soleprint.llm.tables import saved
+from soleprint.llm.tables import comparable, saved
 from soleprint.llm.words import word_count
 
 # A document is taken at most so often.
@@ -201,7 +201,8 @@ def mix_copies(
 def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """Each row of ``docs`` as often as the mix takes it, in the columns of ``docs``.
 
-    Rows equal in id and text share the copies they get together as evenly as may be.
+    Rows equal in id and text share the copies they get together as evenly as may be; maps in
+    other columns are ordered by their JSON text.
     """
     taken = mix_copies(docs, mix).groupBy("doc_id", "place").agg(
         F.sum("copies").alias("copies"), F.count("*").alias("rows"))
@@ -210,7 +211,7 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
                        F.col("doc_id").alias("id"), place.alias("hash"))
     taken = taken.withColumnsRenamed({"doc_id": "t_id", "place": "t_place"})
     rank = F.when(F.col("rows") == 1, 1).otherwise(F.row_number().over(
-        Window.partitionBy("id", "hash").orderBy("row")))
+        Window.partitionBy("id", "hash").orderBy(comparable("row", docs.schema))))
     joined = rows.join(taken, F.col("id").eqNullSafe(F.col("t_id"))
                        & (F.col("hash") == F.col("t_place")))
     times = F.floor(F.col("copies") / F.col("rows")) + F.when(

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from soleprint.llm.graph import components
-from soleprint.llm.tables import saved, union, written
+from soleprint.llm.tables import least, saved, union, written
 
 # Fixed value: the seed of the shingle hash.
 SEED = 42
@@ -158,7 +158,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """One row of each group of near-duplicates, in the columns of ``docs``.
 
     The row with the smallest ``doc_id`` stays (null last); of several with that id in a group one
-    with the smallest text hash; of rows equal in both, the smallest in all columns.
+    with the smallest text hash; of rows equal in both, the smallest in all columns, where maps
+    count by their JSON text.
     """
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -168,4 +169,4 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
         best).select("best.doc_id", F.col("best.mark").alias("kept"))
     same = rows["id"].eqNullSafe(stay["doc_id"]) & (rows["mark"] == stay["kept"])
     return rows.join(stay, same, "left_semi").groupBy("id", "mark").agg(
-        F.min("row").alias("row")).select("row.*")
+        least("row", docs.schema).alias("row")).select("row.*")

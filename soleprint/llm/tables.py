@@ -5,7 +5,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from soleprint.session import shared_dir
 
@@ -50,5 +52,23 @@ def settled(df: DataFrame, name: str) -> DataFrame:
         return written(df, name, "zstd")
 
 
+def has_maps(schema: StructType) -> bool:
+    return any("map<" in field.dataType.simpleString() for field in schema)
+
+
+def comparable(row: str, schema: StructType) -> Column:
+    """The struct column ``row`` in a form that has an order: columns with maps as JSON text."""
+    if not has_maps(schema):
+        return F.col(row)
+    own = [(F.col(row)[field.name], "map<" in field.dataType.simpleString()) for field in schema]
+    return F.struct(*[(F.to_json(F.struct(value)) if maps else value).alias(f"c{i}")
+                      for i, (value, maps) in enumerate(own)])
+
+
+def least(row: str, schema: StructType) -> Column:
+    """The smallest ``row`` of a group."""
+    return F.min_by(row, comparable(row, schema)) if has_maps(schema) else F.min(row)
+
+
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)

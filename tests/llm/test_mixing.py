@@ -98,3 +98,12 @@ def test_rates_solve_the_dual(spark):
     total = sum(10 * z * min(3, math.exp(s["tilt"] * z / s["mean"])) for z in range(1, 60))
     assert total == pytest.approx(30_000, rel=2e-4)
     assert t["tilt"] == pytest.approx(math.log(0.25), rel=1e-3)
+
+
+def test_columns_with_maps(spark):
+    docs = spark.createDataFrame(
+        [(1, "one two", "a", {"k": 1}), (1, "one two", "a", {"k": 2}), (2, "three", None, None)],
+        "doc_id long, text string, source string, extra map<string, int>")
+    got = mixing.mix_documents(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, mixing.mix_documents(docs).collect()))

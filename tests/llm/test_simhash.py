@@ -98,3 +98,13 @@ def test_edges(spark):
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 2, 3, 8]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_columns_with_maps(spark):
+    docs = spark.createDataFrame(
+        [(1, "one two three", {"k": 2}), (1, "one two three", {"k": 1}), (2, "one two three", None),
+         (3, "quite another text", {"k": 3})], "doc_id long, text string, extra map<string, int>")
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    assert {(r["doc_id"], str(r["extra"])) for r in got.collect()} == {
+        (1, "{'k': 1}"), (3, "{'k': 3}")}
