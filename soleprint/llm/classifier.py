@@ -185,7 +185,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``doc_id`` and ``score`` of each row.
 
     A null text counts as an empty one; texts without words get the score of the bias. Repeated
-    rows are scored alike and all stay; an empty table gives none.
+    rows are scored alike and all stay; very long texts are read whole; an empty table gives none.
     """
     rows = docs.select("doc_id", F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
                        .alias("text"))

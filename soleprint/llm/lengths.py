@@ -13,7 +13,10 @@ BLOCK = 4096
 
 
 def token_lengths(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
-    """``n_tokens`` of each row; 0 for a null or empty text."""
+    """``n_tokens`` of each row; 0 for a null or empty text.
+
+    Repeated rows are counted one by one, very long texts whole; an empty table gives none.
+    """
     rows = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -25,7 +28,7 @@ def token_lengths(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFr
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:
-    """``n_tokens`` and ``n_docs``: the number of rows of each length."""
+    """``n_tokens`` and ``n_docs``: the number of rows of each length, repeated rows included."""
     return lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
 
 

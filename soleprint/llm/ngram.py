@@ -284,8 +284,8 @@ def score_texts(
     probabilities; ``n_known`` tokens have c > 0. A null text counts as an empty one, which is just
     its end. A null in ``learn`` is false. Ids may be of any type that Arrow carries, null included.
     Repeated rows count and are scored one by one; without training rows all tokens are equally
-    improbable. An empty table gives none. A very long text is a chunk of its own, so its tokens
-    must fit into one task. Words are told apart by 55 bits of hash, and
+    improbable. An empty table gives none. A very long text stays whole and ends its chunk, so its
+    tokens must fit into one task. Words are told apart by 55 bits of hash, and
     so are bigrams, apart from words.
     """
     identity = F.col(f"`{doc_id}`").alias("doc_id")

@@ -105,7 +105,8 @@ def line_quality(
     Columns of ``docs`` with the same names are replaced; choose another prefix to keep them.
 
     A null text counts as one without words, and ``cleaned`` is then empty; a document without
-    words fails. Repeated rows are judged one by one and all stay; an empty table stays empty.
+    words fails. Repeated rows are judged one by one and all stay; very long texts are judged
+    whole; an empty table stays empty.
     """
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
            "cleaned", "kept"]

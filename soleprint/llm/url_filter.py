@@ -175,7 +175,8 @@ def judge_urls(
     ``listed`` holds the keys to block, host and path put together, in a column ``key``. A rule
     decides where one fits, else the list: blocked if listed, else allowed. Keys of the list that
     no page has do no harm. A null URL and one without ``://`` have an empty host and path, and
-    the empty key. Repeated rows are judged alike and all stay; an empty table gives none.
+    the empty key. URLs are read whole, however long. Repeated rows are judged alike and all stay; an
+    empty table gives none.
     """
     host, path = host_and_path(F.col(f"`{url}`"))
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), host.alias("host"),
