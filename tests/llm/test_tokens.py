@@ -30,6 +30,17 @@ def test_pieces_encode_like_whole_texts(plain):
         assert np.frombuffer(ids, np.int32).tolist() == plain(text), repr(text)
 
 
+def test_pieces_encode_alike_without_a_mark(plain):
+    texts = ODD + ["<|endoftext and |> <|", "a<|endoftext", "|>b", "_a__b_!x_"]
+    encoder, bare = encode.Encoder(PATH), encode.Encoder(PATH)
+    assert encoder.mark == ("<|endoftext|>", 50256)
+    bare.mark = None
+    many = texts + [f"w{i} x_{i}-{i}é" for i in range(3 * encode.TOGETHER)]
+    assert encoder(many) == bare(many)
+    for text, ids in zip(texts, encoder(texts), strict=True):
+        assert np.frombuffer(ids, np.int32).tolist() == plain(text), repr(text)
+
+
 def test_length_query(spark, sf_dir, plain):
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()
     sizes = np.array([len(plain(r["text"])) for r in texts])
