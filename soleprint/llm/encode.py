@@ -11,16 +11,19 @@ import gc
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 # White space, then marks, then letters and digits, as many as there are of each.
 PIECE = re.compile(
     r"[ \t\n\r]*+(?:[^\W_]++|[^\w \t\n\r]*+(?:_[^\w \t\n\r]*+)*+[^\W_]*+)")
+# A space, if any, and letters of the Latin blocks: one unit for a byte-level tokenizer's own pattern.
+WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 WHOLE = re.compile(
     r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000"
     r"\ufeff]|<\|")
@@ -43,6 +46,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {"": b""}  # each text ends with an empty piece
         self.mark = self._mark()
+        own = self.tokenizer.pre_tokenizer
+        # For words, which the pattern would leave as they are.
+        self.uncut = ByteLevel(add_prefix_space=False, use_regex=False) if (
+            isinstance(own, ByteLevel) and not own.add_prefix_space) else own
 
     def _mark(self) -> tuple[str, int] | None:
         """A special token that may stand between pieces, with its id, if the tokenizer has one.
@@ -55,7 +62,11 @@ class Encoder:
                 return token.content, token_id
         return None
 
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("i", one.ids).tobytes() for one in done]
+
+    def _joined(self, pieces: list[str]) -> list[bytes]:
         """Like :meth:`_encode` for pieces, which costs less than one call's result for each."""
         if self.mark is None:
             return self._encode(pieces)
@@ -68,9 +79,19 @@ class Encoder:
             done += [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         return done
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("i", one.ids).tobytes() for one in done]
+    def _encode_pieces(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """The ids of each piece; words do without the tokenizer's pattern."""
+        words, others = [], []
+        for piece in pieces:
+            (words if WORD.fullmatch(piece) else others).append(piece)
+        own = self.tokenizer.pre_tokenizer
+        self.tokenizer.pre_tokenizer = self.uncut
+        try:
+            found = dict(zip(words, self._joined(words), strict=True))
+        finally:
+            self.tokenizer.pre_tokenizer = own
+        found.update(zip(others, self._joined(others), strict=True))
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian int32 bytes."""
@@ -88,8 +109,7 @@ class Encoder:
         pieces = [None if (WHOLE_ASCII if t.isascii() else WHOLE).search(t) else PIECE.findall(t)
                   for t in texts]
         known = set().union(*filter(None, pieces))
-        fresh = list(known.difference(kept))
-        found = dict(zip(fresh, self._encode_pieces(fresh), strict=True))
+        found = self._encode_pieces(known.difference(kept))
         if len(kept) + len(found) <= CACHED_PIECES:
             kept.update(found)
             found = kept

@@ -31,10 +31,11 @@ def test_pieces_encode_like_whole_texts(plain):
 
 
 def test_pieces_encode_alike_without_a_mark(plain):
-    texts = ODD + ["<|endoftext and |> <|", "a<|endoftext", "|>b", "_a__b_!x_"]
+    texts = ODD + ["<|endoftext and |> <|", "a<|endoftext", "|>b", "_a__b_!x_",
+                    "\nÉté  ǅungla ƻ x×y ÷ŉ", "".join(map(chr, range(0xC0, 0x250)))]
     encoder, bare = encode.Encoder(PATH), encode.Encoder(PATH)
     assert encoder.mark == ("<|endoftext|>", 50256)
-    bare.mark = None
+    bare.mark, bare.uncut = None, bare.tokenizer.pre_tokenizer
     many = texts + [f"w{i} x_{i}-{i}é" for i in range(3 * encode.TOGETHER)]
     assert encoder(many) == bare(many)
     for text, ids in zip(texts, encoder(texts), strict=True):
