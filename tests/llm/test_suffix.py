@@ -4,7 +4,9 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from soleprint.llm import suffix
 from soleprint.llm.catalog import QUERIES
@@ -57,3 +59,54 @@ def test_made_up_texts(spark, length):
                   for t, (kept, runs) in zip(raw, plain(raw, length), strict=True))
     assert sorted((r["n_bytes"], bytes(r["kept"]), len(r["removed"])) for r in got) == want
     assert suffix.remove_repeats(docs.limit(0), length).count() == 0
+
+
+def noise(rng, n):
+    return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+
+def test_a_chunk_sends_what_is_equal_in_it_once():
+    rng, scale = random.Random(1), suffix.Scale(100)
+    line = noise(rng, 250)
+
+    def sent(texts):
+        ends = np.cumsum([len(t) for t in texts])
+        return suffix._sent_cells(suffix.cells("".join(texts).encode(), ends, scale))
+    copy = noise(rng, 900)
+    few, sure, left = sent([copy] * 2)
+    many, more, _ = sent([copy] * 50)
+    assert len(few) == len(many) > 0 and len(more) == 25 * len(sure) and not len(left)
+    # A line that every text has, with other text around it: its cores go out once each.
+    rows, _, left = sent([noise(rng, 300) + line + noise(rng, 300) for _ in range(50)])
+    assert len(np.unique(rows["k"])) == len(rows) and len(left) >= 50
+    assert (rows["known"] == suffix.SEVERAL).any()
+    strings = suffix._strings((copy + copy).encode(), np.array([[0, 9], [900, 909]], np.int32), 100)
+    rows, sure = suffix._sent_strings(strings)
+    assert len(rows) == 10 and (rows["start"] < 0).all() and len(sure) == 20
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_chunks_of_all_tasks_meet(spark, parts):
+    rng = random.Random(parts)
+    line, copy = noise(rng, 260), noise(rng, 700)
+    texts = [noise(rng, rng.randrange(300)) + line + noise(rng, rng.randrange(300))
+             for _ in range(60)] + [copy] * 30
+    texts += [copy[:i] + "X" + copy[i:] for i in range(0, 700, 35)] + [noise(rng, 400)] * 2
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix.remove_repeats(docs.repartition(parts), 100).select(
+        "doc_id", "kept", F.size("removed")).collect()
+    want = plain([t.encode() for t in texts], 100)
+    assert sorted((d, bytes(k), n) for d, k, n in got) == [
+        (i, kept, runs) for i, (kept, runs) in enumerate(want)]
+
+
+def test_passages_go_by_bytes_not_by_words(spark):
+    """60 short words under 400 bytes stay, as the contract has it; 400 bytes go."""
+    rng = random.Random(3)
+    short, long = (" ".join(noise(rng, n).replace(" ", "x") for _ in range(60)) for n in (5, 6))
+    assert len(short) < 400 < len(long)
+    texts = [noise(rng, 50) + p + noise(rng, 50) for p in (short, short, long, long)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sizes = dict(suffix.remove_repeats(docs).select("doc_id", F.octet_length("kept")).collect())
+    assert sizes[0] == sizes[1] == len(texts[0]) and max(sizes[2], sizes[3]) <= 100
