@@ -13,6 +13,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,9 @@ PIECE = re.compile(
 WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 WHOLE = re.compile(
     r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000"
-    r"\ufeff]|<\|")
-WHOLE_ASCII = re.compile(r"[\x0b\x0c\x1c-\x1f]|<\|")
+    r"\ufeff]")
+WHOLE_ASCII = re.compile(r"[\x0b\x0c\x1c-\x1f]")
+OPENING = "<|"
 # Characters of text handled at a time, and pieces that a Python worker remembers.
 SLICE_CHARS = 4_000_000
 CACHED_PIECES = 800_000
@@ -35,6 +37,22 @@ CACHED_PIECES = 800_000
 TOGETHER = 2000
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers have for each byte: its own if it can be seen."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in seen]
+    return {byte: chr(byte) for byte in seen} | {
+        byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+def in_one_go(text: str) -> bool:
+    """Whether a text cannot be cut into pieces here."""
+    return OPENING in text or (WHOLE_ASCII if text.isascii() else WHOLE).search(text) is not None
+
+
 class Encoder:
     """Encodes lists of texts into int32 ids, remembering pieces between calls.
 
@@ -47,9 +65,13 @@ class Encoder:
         self.kept: dict[str, bytes] = {"": b""}  # each text ends with an empty piece
         self.mark = self._mark()
         own = self.tokenizer.pre_tokenizer
-        # For words, which the pattern would leave as they are.
-        self.uncut = ByteLevel(add_prefix_space=False, use_regex=False) if (
-            isinstance(own, ByteLevel) and not own.add_prefix_space) else own
+        # Words, which the pattern would leave as they are, may go to the model directly.
+        self.direct = (
+            isinstance(own, ByteLevel) and not own.add_prefix_space
+            and self.tokenizer.normalizer is None and self.tokenizer.truncation is None
+            and self.tokenizer.padding is None and not any(
+                WORD.fullmatch(t.content) or not t.content.strip()
+                for t in self.tokenizer.get_added_tokens_decoder().values()))
 
     def _mark(self) -> tuple[str, int] | None:
         """A special token that may stand between pieces, with its id, if the tokenizer has one.
@@ -79,17 +101,19 @@ class Encoder:
             done += [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         return done
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Like :meth:`_encode` for words, by the model alone, in its own letters for bytes."""
+        letters = "\n".join(words).encode().decode("latin-1").translate(BYTE_LETTERS)
+        tokenize = self.tokenizer.model.tokenize
+        return [array("i", [token.id for token in tokenize(word)]).tobytes()
+                for word in letters.split(BYTE_LETTERS[10])] if words else []
+
     def _encode_pieces(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """The ids of each piece; words do without the tokenizer's pattern."""
+        """The ids of each piece; words do without the rest of the tokenizer."""
         words, others = [], []
         for piece in pieces:
-            (words if WORD.fullmatch(piece) else others).append(piece)
-        own = self.tokenizer.pre_tokenizer
-        self.tokenizer.pre_tokenizer = self.uncut
-        try:
-            found = dict(zip(words, self._joined(words), strict=True))
-        finally:
-            self.tokenizer.pre_tokenizer = own
+            (words if self.direct and WORD.fullmatch(piece) else others).append(piece)
+        found = dict(zip(words, self._words(words), strict=True))
         found.update(zip(others, self._joined(others), strict=True))
         return found
 
@@ -106,18 +130,23 @@ class Encoder:
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         kept = self.kept
-        pieces = [None if (WHOLE_ASCII if t.isascii() else WHOLE).search(t) else PIECE.findall(t)
-                  for t in texts]
-        known = set().union(*filter(None, pieces))
-        found = self._encode_pieces(known.difference(kept))
+        whole, pieces, bounds = [], [], [0]
+        for text in texts:
+            if in_one_go(text):
+                whole.append(text)
+            else:
+                pieces += PIECE.findall(text)  # at least an empty one, at the end
+            bounds.append(len(pieces))
+        rest = iter(self._encode(whole))
+        # Each piece is looked up once.
+        ids = list(map(kept.get, pieces))
+        unknown = [i for i, own in enumerate(ids) if own is None]
+        found = self._encode_pieces(dict.fromkeys([pieces[i] for i in unknown]))
+        for i in unknown:
+            ids[i] = found[pieces[i]]
         if len(kept) + len(found) <= CACHED_PIECES:
             kept.update(found)
-            found = kept
-        else:
-            found |= {p: kept[p] for p in known.intersection(kept)}
-        whole = iter(self._encode([t for t, own in zip(texts, pieces, strict=True) if own is None]))
-        get = found.__getitem__
-        return [next(whole) if own is None else b"".join(map(get, own)) for own in pieces]
+        return [b"".join(ids[a:b]) if a < b else next(rest) for a, b in pairwise(bounds)]
 
 
 @lru_cache(maxsize=2)

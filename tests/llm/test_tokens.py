@@ -92,3 +92,39 @@ def test_edges(spark, tmp_path, plain):
     none = lengths.token_lengths(docs.limit(0), PATH)
     assert lengths.context_limits(lengths.length_histogram(none)).count() == 0
     assert lengths.token_lengths(docs, PATH).count() == len(rows)
+
+
+def test_words_go_to_the_model_alone(plain, tmp_path):
+    letters = "".join(map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250)]))
+    texts = [letters, "na\nïve señor ", " Ñandú", "a<|b", "x\x1fy", "x y", "", "Hello  wörld\n" * 50]
+    texts += [" ".join(letters[i:i + n] for i in range(0, len(letters), n)) for n in range(1, 9)]
+    encoder, bare = encode.Encoder(PATH), encode.Encoder(PATH)
+    assert encoder.direct
+    cut = []
+    encoder._joined = lambda pieces: cut.extend(pieces) or encode.Encoder._joined(encoder, pieces)
+    bare.direct = False
+    assert encoder(texts) == bare(texts)
+    assert cut and not any(encode.WORD.fullmatch(piece) for piece in cut)
+    for text, ids in zip(texts, encoder(texts), strict=True):
+        assert np.frombuffer(ids, np.int32).tolist() == plain(text), repr(text)
+    # A token of one's own may lie in a word: then words go the whole way.
+    for i, token in enumerate(["ello", " ", " wör"]):
+        own = Tokenizer.from_file(PATH)
+        own.add_tokens([token])
+        own.save(str(tmp_path / f"{i}.json"))
+        assert not encode.Encoder(str(tmp_path / f"{i}.json")).direct
+
+
+def test_a_piece_is_looked_up_once():
+    class Looks(dict):
+        n = 0
+
+        def get(self, key):
+            Looks.n += 1
+            return super().get(key)
+
+    encoder = encode.Encoder(PATH)
+    encoder.kept = Looks(encoder.kept)
+    encoder(["one two one", "two!"])
+    assert Looks.n == 7  # with the empty piece that ends each text
+    assert {"one", " two", " one", "two", "!"} <= set(encoder.kept)
