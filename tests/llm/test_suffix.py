@@ -110,3 +110,27 @@ def test_passages_go_by_bytes_not_by_words(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     sizes = dict(suffix.remove_repeats(docs).select("doc_id", F.octet_length("kept")).collect())
     assert sizes[0] == sizes[1] == len(texts[0]) and max(sizes[2], sizes[3]) <= 100
+
+
+def test_rows_hold_one_text_and_bounded_messages(spark):
+    """Rows of many texts took an executor's heap; so do messages with all that a chunk knows."""
+    rng = random.Random(4)
+    texts = [noise(rng, rng.randrange(300)) for _ in range(200)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = suffix._chunks(docs, "doc_id", "text").select("doc_id", "bytes", "chunk", "no").collect()
+    assert {r["doc_id"]: bytes(r["bytes"]).decode() for r in rows} == {
+        i: t or "" for i, t in enumerate(texts)}
+    assert len({(r["chunk"], r["no"]) for r in rows}) == len(texts)
+    size, rows = suffix.KNOWN_BYTES, np.zeros(9, suffix.STRING)
+    rows["h1"], known = np.arange(9), rng.randbytes(5 * suffix.KNOWN_BYTES + 8)
+    sent = suffix._asked(3, rows, "h1", 9, known, b"").to_pydict()
+    assert sorted(map(len, sent["sure"])) == [0, 0, 0, 8] + [size] * 5
+    assert b"".join(sent["sure"][3:] + sent["sure"][:3]) == known
+
+
+def test_settings_come_back(spark):
+    from soleprint.llm.tables import BATCHES
+    before = {name: spark.conf.get(name) for name in BATCHES}
+    docs = spark.createDataFrame([(1, "a" * 500)], "doc_id long, text string")
+    assert [len(r["kept"]) for r in suffix.remove_repeats(docs).collect()] == [0]
+    assert {name: spark.conf.get(name) for name in BATCHES} == before
